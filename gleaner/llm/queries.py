@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleaner.llm.canon import map_to_list
 from gleaner.llm.caps import claims_beyond_cap
 from gleaner.llm.lookalike import member_frequency, same_look_pairs
 from gleaner.runtime import load
@@ -23,7 +24,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = (("claims", "location", "claim_row", "branch,city"), ("places", "city", "place_id", "city"), ("places", "address", "place_id", "street"))
+    values = None
+    for table, column, key, kinds in fields:
+        part = load(spark, sf_dir, table).select(F.lit(f"{table}.{column}").alias("src"), F.col(key).alias("row_id"), F.col(column).alias("value"), F.lit(kinds).alias("kinds"))
+        values = part if values is None else values.unionByName(part)
+    return map_to_list(values, load(spark, sf_dir, "place_ref"))
+
+
+QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found}
 
 ORACLES = {
     "p3_found": r"""WITH d AS (SELECT *, row_number() OVER (PARTITION BY source_key, store, category, claim ORDER BY claim_row) AS copy FROM claims),
