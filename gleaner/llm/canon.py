@@ -246,14 +246,14 @@ class Matcher:
 
     def street(self, value: str) -> int:
         forms = street_forms(value)
-        town = "" if len(forms) < 2 else next((self.towns[f] for words, _ in forms if (f := "".join(words)) in self.towns), "")
+        town = next((self.towns[f] for words, _ in forms[1:] if (f := "".join(words)) in self.towns), "")
         with_kind = [words for words, kind in forms if kind]
         if with_kind:
             return self.best([x for words in with_kind for x in self.near("street", "".join(words))], town)
         found = self.best([x for words, _ in forms for x in self.near("street", "".join(words))], town)
         if found:
             return found
-        return self.best([x for words, _ in forms if not (town and "".join(words) in self.towns) for x in self.near("base", "".join(words))], town)
+        return self.best([x for i, (words, _) in enumerate(forms) if not (i and "".join(words) in self.towns) for x in self.near("base", "".join(words))], town)
 
 
 def matcher_for(entries: Sequence[Entry], frequency: dict[int, int]) -> Matcher:

@@ -1,0 +1,448 @@
+"""Personal information inside free text: found by anchors, replaced by typed placeholders.
+
+One automaton over the folded text finds the anchors: at-signs and their spellings, identity cues, name words of the
+list, words that introduce a person, kinds of street. Around each anchor a small deterministic parser looks for the
+bounds of the value and validates it. Folding keeps offsets, so replacements are made in the text as written.
+"""
+
+from __future__ import annotations
+
+import re
+import sys
+import unicodedata
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
+from functools import lru_cache
+
+import ahocorasick
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gleaner.llm.canon import DIRECTIONS, NUMBER_WORDS, STREET_KINDS
+from gleaner.llm.lookalike import INVISIBLE, LOOK_ALIKES
+
+TYPES = ("email", "phone", "identity_number", "street_address", "name")
+PLACEHOLDERS = {t: f"[{t.upper()}]" for t in TYPES}
+
+#: Words that introduce or follow a person, titles, and words that are no part of a name.
+BEFORE_NAME = (
+    "name:", "name is", "contact", "ask for", "shout out to", "thanks to", "neighbor", "neighbour", "manager", "served by", "came from", "filed under",
+    "happened to", "started by", "cart with", "cart was", "office and", "card to", "signed", "regards,", "spoke to", "spoke with", "talked to", "attn:", "attn", "c/o",
+    "—", "–",
+)
+AFTER_NAME = ("at the register", "at the fish counter", "sold me", "wrote back", "works nights", "refused the", "who was great", "in the bakery")
+TITLES = ("dr", "mr", "mrs", "ms", "mx", "prof", "miss")
+NO_NAME = set(
+    "a an the and or but for from with without to of in on at by is are was were be been it its i you we he she they them my our your his her their this that"
+    " these those not no if so as than then there here when where who what why how all any both each few more most other some such only own same too very can"
+    " will just now got get had has have did do does ask contact name call text reach send ship tell said says sorry paid skip go parking coupons staff produce"
+    " honestly somebody someone everyone found photos order receipt till delivery rewards item dear hi hello thanks apples smith root oil bread salad ale cheese"
+    " focaccia bar snaps pesto sausage tea soup sauce chicken pork juice salt jack spray grinder butter bagels".split()
+)
+CHAIN_WORDS = set(
+    "market basket trader joe's joes whole foods star stop shop shaw's shaws mart wegmans aldi costco bj's bjs target haymarket russo's russos formaggio kitchen"
+    " dave's fresh pasta broadway marketplace cardullo's cardullos reliable ebisuya granny greek corner pantry".split()
+)
+IDENTITY_CUES = {
+    "ssn": "ssn", "social security": "ssn", "social-security": "ssn", "social insurance": "ssn", "social-insurance": "ssn", "social:": "ssn", "social is": "ssn",
+    "sin:": "ssn", "sin ": "ssn", "licen": "licence", "dl:": "licence", "dl ": "licence", "passport": "passport",
+}
+AT_SIGNS = ("@", "(at)", "[at]", "{at}")
+DOTS = (" dot ", "[dot]", "(dot)", "{dot}")
+
+
+@lru_cache(maxsize=1)
+def _fold_table() -> dict[int, str | None]:
+    """One character to one, or to none where it shows nothing: look-alikes, width forms and accents folded."""
+    table: dict[int, str | None] = {ord(ch): None for ch in INVISIBLE}
+    for latin, others in LOOK_ALIKES.items():
+        if len(latin) == 1:
+            table.update({ord(ch): latin for ch in others})
+    for cp in [*range(0xA0, 0x250), *range(0x1E00, 0x1F00), *range(0x2000, 0x2070), *range(0xFF01, 0xFF5F), 0x3000, 0x212A]:
+        ch = chr(cp)
+        plain = unicodedata.normalize("NFKD", ch)
+        if plain and plain[0] != ch and plain[0].isascii() and all(unicodedata.combining(c) for c in plain[1:]):
+            table.setdefault(cp, plain[0])
+    table.update({0x300 + i: None for i in range(0x70)})
+    table.update({ord(a): b for a, b in zip("ØøŁłĐđ’‘ʼ", "OoLlDd'''", strict=True)})
+    table.update({0xFB00: "f", 0xFB01: "f", 0xFB02: "f"})
+    return table
+
+
+def fold(text: str) -> tuple[str, list[int] | None]:
+    """The folded text, and the offset of each of its characters in the text (none: the same offsets)."""
+    if text.isascii():
+        return text, None
+    table = _fold_table()
+    folded = text.translate(table)
+    if len(folded) == len(text):
+        return folded, None
+    return folded, [i for i, ch in enumerate(text) if table.get(ord(ch), ch) is not None]
+
+
+_WORD = r"[A-Za-z]+(?:['\-][A-Za-z]+)*"
+_NAME_WORD = re.compile(_WORD)
+_NUMBERISH = re.compile(r"[\d(+][\d\s().\-/]{5,}\d")
+_PHONE = re.compile(r"(?<![\w$#.])(?:\+?1[ .\-/]?)?(?:\(\d{3}\) ?|\d{3}[ .\-/]?)\d{3}[ .\-/]?\d{4}(?![\w])(?!-\d)(?:,? ?(?:ext\.?|x|extension) ?\d{1,6})?", re.I)
+_SSN_SHAPE = re.compile(r"(?<![\w$#.\-])\d{3}([ \-.])\d{2}\1\d{4}(?![\w\-])")
+_SSN_CUED = re.compile(r"(?<![\w$])\d{3}[ \-./]?(?:\d{2}[ \-./]?\d{4}|\d{3}[ \-./]?\d{3})(?![\w\-])")
+_LICENCE = re.compile(r"(?<!\w)[A-Z]{1,2}[ \-]?\d{6,9}(?!\w)", re.I)
+_PASSPORT = re.compile(r"(?<!\w)[A-Z]{1,2}[ \-]?\d{6,8}[A-Z]?(?!\w)", re.I)
+_LOCAL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+\-']*\Z")
+_DOT = r"(?:\.| ?[\[({]dot[\])}] ?| dot )"
+_DOMAIN = re.compile(rf"[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?(?:{_DOT}[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?)*{_DOT}[A-Za-z]{{2,24}}(?![A-Za-z0-9])", re.I)
+_SPELT_AT = re.compile(rf"([A-Za-z0-9][A-Za-z0-9._%+\-']*) at ({_DOMAIN.pattern})", re.I)
+_KIND_WORDS = {w for k, ws in STREET_KINDS.items() for w in [k, *ws.split()]} - {"pl"}
+DIGIT_WORDS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
+_SPELT_RUN = re.compile(rf"(?<![\w$])(?:(?:\+?\d{{1,4}}|{'|'.join(DIGIT_WORDS)})(?:[ \-.,]{{1,2}}|\b)){{4,14}}", re.I)
+_NUMBER_WORD = "(?:" + "|".join(sorted(NUMBER_WORDS, key=len, reverse=True)) + ")"
+_HOUSE = re.compile(
+    rf"(?:(?<!\w)(?:unit|apt\.?|suite|ste\.?) ?#? ?\w{{1,5}}, ?)?(?<![\w$/.\-])(\d{{1,5}}(?:-\d{{1,5}})?(?: ?[A-Za-z])?(?: 1/2)?|{_NUMBER_WORD}(?:[ \-]{_NUMBER_WORD})*)"
+    rf",? +((?:(?:{'|'.join(DIRECTIONS)}|[NSEW]\.?) +)?{_WORD}(?: +{_WORD})?) +\Z",
+    re.I,
+)
+_UNIT_AFTER = re.compile(r",? ?(?:(?:apt|unit|suite|ste|floor|fl)\b\.? ?#? ?\w{1,5}|#\d+)", re.I)
+_PLAIN_WORDS = NO_NAME | set("minutes hours days visits times stars things items pieces more good long short easy right wrong hard only half single".split())
+
+
+@dataclass(frozen=True)
+class Span:
+    start: int
+    end: int
+    kind: str
+
+
+class Finder:
+    """Finds spans of personal information. given, family: name words known; they need not be complete."""
+
+    def __init__(self, given: Iterable[str], family: Iterable[str]) -> None:
+        flat = lambda words: {fold(w)[0].lower() for w in words if w and w.strip()}
+        self.given, self.family = flat(given), flat(family)
+        self.automaton = ahocorasick.Automaton()
+        anchors: dict[str, set[str]] = {}
+        for words, kind in (
+            (AT_SIGNS, "at"), (DOTS, "dot"), (IDENTITY_CUES, "identity"), (self.given | self.family, "name"), (BEFORE_NAME, "before"), (AFTER_NAME, "after"),
+            (_KIND_WORDS, "street"), (TITLES, "title"), (DIGIT_WORDS, "digit"),
+        ):
+            for w in words:
+                anchors.setdefault(w, set()).add(kind)
+        for w, kinds in anchors.items():
+            self.automaton.add_word(w, (len(w), w, tuple(sorted(kinds))))
+        self.automaton.make_automaton()
+
+    def find(self, text: str | None) -> list[Span]:
+        """Spans in text, in order, none within another. Null and empty text have none; the whole text is searched."""
+        if not text:
+            return []
+        folded, offsets = fold(text)
+        spans = self._find(folded)
+        if offsets is not None and spans:
+            offsets = [*offsets, len(text)]
+            spans = [Span(offsets[s.start], offsets[s.end - 1] + 1, s.kind) for s in spans]
+        return spans
+
+    def _find(self, t: str) -> list[Span]:
+        low = t.lower()
+        if len(low) != len(t):
+            low = "".join(ch.lower() if len(ch.lower()) == 1 else ch for ch in t)
+        hits: dict[str, list[tuple[int, int, str]]] = {}
+        for end, (n, word, kinds) in self.automaton.iter(low):
+            start = end - n + 1
+            if word[0].isalpha() and start and low[start - 1].isalnum() or word[-1].isalpha() and word != "licen" and end + 1 < len(low) and low[end + 1].isalnum():
+                continue
+            for kind in kinds:
+                hits.setdefault(kind, []).append((start, end + 1, word))
+        spans = [*self._emails(t, hits), *self._numbers(t, low, hits), *self._streets(t, low, hits)]
+        taken = _merge(spans)
+        names = [s for s in self._names(t, low, hits) if not any(s.start < x.end and x.start < s.end for x in taken)]
+        return _merge([*taken, *names])
+
+    def _emails(self, t: str, hits: dict) -> Iterator[Span]:
+        for start, end, _ in hits.get("at", ()):
+            left = t[max(0, start - 80) : start]
+            gap = len(left) - len(left.rstrip(" "))
+            local = _LOCAL.search(left.rstrip(" ")) if gap <= 2 else None
+            right = end + (len(t[end : end + 3]) - len(t[end : end + 3].lstrip(" ")))
+            domain = _DOMAIN.match(t, right)
+            if local and domain and right - end <= 2:
+                yield Span(max(0, start - 80) + local.start(), domain.end(), "email")
+        seen = -1
+        for start, _, _ in hits.get("dot", ()):
+            if start < seen:
+                continue
+            at = max(0, start - 120)
+            for m in _SPELT_AT.finditer(t, at, min(len(t), start + 80)):
+                if m.start() <= start < m.end():
+                    yield Span(m.start(), m.end(), "email")
+                    seen = m.end()
+
+    def _numbers(self, t: str, low: str, hits: dict) -> Iterator[Span]:
+        cued: list[tuple[int, int]] = []
+        for start, end, word in hits.get("identity", ()):
+            kind = IDENTITY_CUES[word]
+            shape = {"ssn": _SSN_CUED, "licence": _LICENCE, "passport": _PASSPORT}[kind]
+            m = shape.search(t, end, min(len(t), end + 48))
+            if m and not re.search(r"[.!?]\s+[A-Z]|\n", t[end : m.start()].replace("no. ", "no ").replace("No. ", "No ")):
+                cued.append((m.start(), m.end()))
+                yield Span(m.start(), m.end(), "identity_number")
+        for run in _NUMBERISH.finditer(t):
+            a, b = max(0, run.start() - 1), min(len(t), run.end() + 14)
+            for m in _SSN_SHAPE.finditer(t, a, b):
+                cued.append((m.start(), m.end()))
+                yield Span(m.start(), m.end(), "identity_number")
+            for m in _PHONE.finditer(t, a, b):
+                digits = re.sub(r"\D", "", re.split(r"(?i)e?x", m.group())[0])[-10:]
+                if digits[0] in "01" or digits[3] in "01" or any(x < m.end() and m.start() < y for x, y in cued):
+                    continue
+                if m.group().isdigit() and re.search(r"(?i)(?:order|item|upc|sku|receipt|code|ref(?:erence)?|number) ?#? ?$", t[max(0, m.start() - 12) : m.start()]):
+                    continue
+                yield Span(m.start(), m.end(), "phone")
+        done = -1
+        spelt = sorted(hits.get("digit", ()))
+        for i, (start, _, _) in enumerate(spelt):
+            # several digits in words close by
+            if start < done or i + 2 >= len(spelt) or spelt[i + 2][0] - start > 24:
+                continue
+            for m in _SPELT_RUN.finditer(t, max(0, start - 16), min(len(t), start + 110)):
+                text = m.group().rstrip(" -.,")
+                digits = "".join(DIGIT_WORDS.get(w, w) for w in re.findall(r"[a-z]+|\d+", text.lower()))
+                if m.start() <= start < m.end() and (len(digits) == 10 or len(digits) == 11 and digits[0] == "1") and digits[-10] not in "01":
+                    yield Span(m.start(), m.start() + len(text), "phone")
+                    done = m.end()
+
+    def _streets(self, t: str, low: str, hits: dict) -> Iterator[Span]:
+        for start, end, _ in hits.get("street", ()):
+            m = _HOUSE.search(t[max(0, start - 70) : start])
+            if not m:
+                continue
+            base = m.group(2).split()
+            if any(w.lower() in _PLAIN_WORDS for w in base) or len(base[-1]) < 3:
+                continue
+            if not all(w[0].isupper() for w in base) and len(base) > 1:
+                continue
+            first = max(0, start - 70) + m.start()
+            after = _UNIT_AFTER.match(t, end + (t[end : end + 1] == "."))
+            yield Span(first, after.end() if after else end, "street_address")
+
+    def _names(self, t: str, low: str, hits: dict) -> Iterator[Span]:
+        """Full names: a known word or an introduction anchors the run of words around it."""
+        if not any(k in hits for k in ("name", "before", "after", "title")):
+            return
+        done = -1
+        cue_ends = {end for start, end, _ in hits.get("before", ())}
+        for start, end, word in sorted([*hits.get("name", ()), *hits.get("title", ())]):
+            if start >= done:
+                found = self._around(t, low, start, end)
+                if found:
+                    done = found.end
+                    yield found
+        for end in sorted(cue_ends):
+            found = self._introduced(t, low, end)
+            if found:
+                yield found
+        for start, _, _ in hits.get("after", ()):
+            found = self._followed(t, start)
+            if found:
+                yield found
+
+    # words of a run: (start, end, word, lower)
+    def _run(self, t: str, at: int, most: int = 4) -> list[tuple[int, int, str, str]]:
+        """Up to `most` name-like words from `at` on, set apart by one space (or an initial's full stop)."""
+        out: list[tuple[int, int, str, str]] = []
+        while len(out) < most:
+            m = _NAME_WORD.match(t, at)
+            if not m:
+                break
+            out.append((m.start(), m.end(), m.group(), m.group().lower()))
+            at = m.end()
+            if at < len(t) and t[at] == "." and (len(m.group()) == 1 or m.group().lower() in TITLES):
+                at += 1
+            if at >= len(t) or t[at] != " ":
+                break
+            at += 1
+            if at < len(t) and t[at] == " ":
+                at += 1
+        return out
+
+    def _could(self, word: str, low: str) -> bool:
+        return word[0].isupper() and low not in NO_NAME and low not in CHAIN_WORDS and len(word) > 1
+
+    def _plain_word(self, low: str) -> bool:
+        """In text without capitals: a word that may be part of an introduced name."""
+        return len(low) > 2 and low not in NO_NAME and low not in CHAIN_WORDS and low not in TITLES
+
+    def _known(self, t: str, run: Sequence[tuple[int, int, str, str]], strict: bool) -> Span | None:
+        """The full name at the start of a run: given [given or initial] family. strict: one of the two is known."""
+        if len(run) < 2:
+            return None
+        a = run[0]
+        middle = len(run) > 2 and (len(run[1][2]) == 1 and run[1][2].isupper() or run[1][3] in self.given or (run[2][3] in self.family and self._could(run[1][2], run[1][3])))
+        for k in (2, 1) if middle else (1,):
+            b = run[k]
+            given, family = a[3] in self.given, b[3] in self.family
+            if given and family:
+                return Span(a[0], b[1], "name")
+            if a[3] in self.family and b[3] in self.given and k == 1 and not strict:
+                return Span(a[0], b[1], "name")
+            if b[3] in self.given and not family and k == 1:
+                continue
+            if family and a[3] not in self.family and (self._could(a[2], a[3]) or not strict and self._plain_word(a[3])):
+                return Span(a[0], b[1], "name")
+            if not strict and given and a[3] not in ORDINARY_GIVEN and self._plain_word(b[3]) and _ENDS_NAME.match(t, b[1]):
+                return Span(a[0], b[1], "name")
+            if not strict and self._could(b[2], b[3]) and len(b[2]) > 3 and (given or self._could(a[2], a[3])):
+                return Span(a[0], b[1], "name")
+        return None
+
+    def _around(self, t: str, low: str, start: int, end: int) -> Span | None:
+        word = low[start:end]
+        if start and t[start - 1] in "_/@+." or end < len(t) and t[end] in "_@+":
+            return None
+        if word in TITLES:
+            at = end + (t[end : end + 1] == ".")
+            if t[at : at + 1] != " " or not t[start].isupper():
+                return None
+            return self._known(t, self._run(t, at + 1), strict=False) or self._reversed(t, at + 1, strict=True)
+        if word in self.family:
+            found = self._reversed(t, start, strict=True)
+            if found:
+                return found
+            # the word before, with an initial or a second given name between
+            lead = t[max(0, start - 60) : start]
+            m = re.search(rf"(?:(?<=[^\w./@'\-])|\A)({_WORD})  ?(?:([A-Z])\.?  ?|({_WORD})  ?)?\Z", lead)
+            if m:
+                at = max(0, start - 60) + m.start(1)
+                found = self._known(t, self._run(t, at), strict=True)
+                if found and found.end >= end:
+                    return found
+                if m.group(3):
+                    found = self._known(t, self._run(t, max(0, start - 60) + m.start(3)), strict=True)
+                    if found and found.end >= end:
+                        return found
+            return None
+        run = self._run(t, start)
+        found = self._known(t, run, strict=True)
+        if found:
+            return found
+        # a known given name that is no ordinary word, with a capital word after it
+        if len(run) > 1 and word not in ORDINARY_GIVEN:
+            k = 2 if len(run) > 2 and (len(run[1][2]) == 1 or run[1][3] in self.given) else 1
+            b = run[k]
+            if run[0][2][0].isupper() and self._could(b[2], b[3]) and len(b[2]) > 3 and b[3] not in self.given:
+                return Span(run[0][0], b[1], "name")
+        return None
+
+    def _reversed(self, t: str, at: int, strict: bool) -> Span | None:
+        """Family, Given"""
+        m = re.compile(rf"({_WORD}), ({_WORD})").match(t, at)
+        if not m:
+            return None
+        a, b = m.group(1).lower(), m.group(2).lower()
+        if a in self.family and (b in self.given or self._could(m.group(2), b) and _ENDS_NAME.match(t, m.end())):
+            return Span(m.start(), m.end(), "name")
+        if b in self.given and self._could(m.group(1), a) and a not in self.given and not strict and _ENDS_NAME.match(t, m.end()):
+            return Span(m.start(), m.end(), "name")
+        if not strict and self._could(m.group(1), a) and a not in self.given and self._could(m.group(2), b) and len(a) > 3 and _ENDS_NAME.match(t, m.end()):
+            return Span(m.start(), m.end(), "name")
+        return None
+
+    def _introduced(self, t: str, low: str, end: int) -> Span | None:
+        at = end
+        while at < len(t) and at < end + 3 and t[at] in " \n:":
+            at += 1
+        if at == end:
+            return None
+        title = re.compile(rf"(?:{'|'.join(TITLES)})\b\.? ", re.I).match(t, at)
+        if title:
+            at = title.end()
+        return self._known(t, self._run(t, at), strict=False) or self._reversed(t, at, strict=False)
+
+    def _followed(self, t: str, start: int) -> Span | None:
+        """The words straight before a phrase that only follows a person."""
+        base = max(0, start - 70)
+        lead = t[base:start].rstrip(", ")
+        m = _BEFORE_PHRASE.search(lead)
+        if not m:
+            return None
+        words = [(base + m.start(i), base + m.end(i), m.group(i), m.group(i).lower()) for i in (1, 2, 3) if m.group(i)]
+        for run in (words, words[-2:]):
+            if len(run) < 2:
+                continue
+            a, b = run[0], run[-1]
+            if b[3] in self.given and a[3] not in self.family and "," not in t[a[1] : b[0]]:
+                continue
+            known = a[3] in self.given and a[3] not in ORDINARY_GIVEN or b[3] in self.family
+            if all(self._could(w[2], w[3]) or len(w[2]) == 1 for w in run) and len(b[2]) > 2 and len(a[2]) > 1:
+                return Span(a[0], b[1], "name")
+            if known and self._plain_word(a[3]) and self._plain_word(b[3]):
+                return Span(a[0], b[1], "name")
+        return None
+
+
+_BEFORE_PHRASE = re.compile(rf"(?:(?<=[^\w./@'\-])|\A)(?:({_WORD}),? )?(?:({_WORD})\.? )?({_WORD})\Z")
+#: Given names that are ordinary words too.
+ORDINARY_GIVEN = {"basil", "ginger", "juniper", "lavender", "olive", "pepper", "rosemary", "sage", "wren", "clementine", "honoria", "calder"}
+_ENDS_NAME = re.compile(r"\s*(?:\(|,|\.|!|\n|\Z|there\b|at the\b|in the\b|works\b|refused\b|from\b|if\b|back\b|wrote\b|who\b|sold\b)")
+
+
+def _merge(spans: Sequence[Span]) -> list[Span]:
+    """In order; of overlapping spans the earlier and longer one stays."""
+    out: list[Span] = []
+    for s in sorted(spans, key=lambda s: (s.start, -s.end, TYPES.index(s.kind))):
+        if not out or s.start >= out[-1].end:
+            out.append(s)
+    return out
+
+
+def redact(text: str | None, spans: Sequence[Span]) -> str | None:
+    """text with each span replaced by its type's placeholder; all else as written."""
+    if text is None:
+        return None
+    parts, at = [], 0
+    for s in spans:
+        parts += [text[at : s.start], PLACEHOLDERS[s.kind]]
+        at = s.end
+    return "".join([*parts, text[at:]])
+
+
+def _names(names: DataFrame, most: int = 100_000) -> tuple[list[str], list[str]]:
+    rows = names.select("name", "name_kind").where("name is not null").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} names; the automaton would not fit")
+    return [r[0] for r in rows if r[1] == "given"], [r[0] for r in rows if r[1] == "family"]
+
+
+def found_types(df: DataFrame, names: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
+    """key, field, pii_type: once for each field and each type it holds at least once."""
+    shared = df.sparkSession.sparkContext.broadcast(_names(names))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder = Finder(*shared.value)
+        for batch in batches:
+            keys, at, kinds = [], [], []
+            for field in fields:
+                for k, text in zip(batch[key], batch[field], strict=True):
+                    if text:
+                        for kind in {s.kind for s in finder.find(text)}:
+                            keys.append(k)
+                            at.append(field)
+                            kinds.append(kind)
+            yield pd.DataFrame({key: pd.array(keys, dtype="Int64"), "field": at, "pii_type": kinds})
+
+    return df.select(key, *fields).mapInPandas(search, f"{key} bigint, field string, pii_type string")
+
+
+def redacted(df: DataFrame, names: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """df with the fields' personal information replaced; other columns, nulls and empty texts as they were."""
+    shared = df.sparkSession.sparkContext.broadcast(_names(names))
+    cache: dict[str, Finder] = {}
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        if "f" not in cache:
+            cache["f"] = Finder(*shared.value)
+        find = cache["f"].find
+        return texts.map(lambda x: redact(x, find(x)), na_action="ignore")
+
+    return df.withColumns({f: clean(F.col(f)) for f in fields})

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.canon import map_to_list
 from gleaner.llm.caps import claims_beyond_cap
-from gleaner.llm.lookalike import member_frequency, same_look_pairs
+from gleaner.llm.lookalike import member_frequency, same_look_pairs, with_consistent_form
+from gleaner.llm.pii import found_types, redacted
 from gleaner.runtime import load
 
 
@@ -33,7 +34,28 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_to_list(values, load(spark, sf_dir, "place_ref"))
 
 
-QUERIES = {"p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found}
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return found_types(load(spark, sf_dir, "candidates"), load(spark, sf_dir, "name_list"), "delivery_id", ["text", "parent_body"])
+
+
+def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "candidates").select("delivery_id", "text", "parent_body")
+    return redacted(rows, load(spark, sf_dir, "name_list"), ["text", "parent_body"])
+
+
+def p4_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    places = load(spark, sf_dir, "places").select("place_id", "name")
+    return with_consistent_form(places, "name", "form", member_frequency(places, "name"))
+
+
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_redacted": p2_redacted,
+    "p3_found": p3_found,
+    "p4_found": p4_found,
+    "p4_consistent": p4_consistent,
+    "p6_found": p6_found,
+}
 
 ORACLES = {
     "p3_found": r"""WITH d AS (SELECT *, row_number() OVER (PARTITION BY source_key, store, category, claim ORDER BY claim_row) AS copy FROM claims),
