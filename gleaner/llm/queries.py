@@ -9,6 +9,7 @@ from gleaner.llm.canon import map_to_list
 from gleaner.llm.caps import claims_beyond_cap
 from gleaner.llm.lookalike import member_frequency, same_look_pairs, with_consistent_form
 from gleaner.llm.pii import found_types, redacted
+from gleaner.llm.spam import spam_pages
 from gleaner.runtime import load
 
 
@@ -48,6 +49,10 @@ def p4_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_consistent_form(places, "name", "form", member_frequency(places, "name"))
 
 
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam_pages(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_redacted": p2_redacted,
@@ -55,6 +60,7 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_consistent": p4_consistent,
     "p6_found": p6_found,
+    "p9_found": p9_found,
 }
 
 ORACLES = {
