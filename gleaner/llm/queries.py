@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from gleaner.llm.canon import map_to_list
 from gleaner.llm.caps import claims_beyond_cap
 from gleaner.llm.lookalike import member_frequency, same_look_pairs, with_consistent_form
+from gleaner.llm.mix import mix
+from gleaner.llm.pack import fill_report, pack_documents
 from gleaner.llm.pii import found_types, redacted
 from gleaner.llm.spam import spam_pages
 from gleaner.runtime import load
@@ -49,6 +51,22 @@ def p4_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_consistent_form(places, "name", "form", member_frequency(places, "name"))
 
 
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "pack_sizes"))
+
+
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(p7_packed(spark, sf_dir), load(spark, sf_dir, "pack_sizes"))
+
+
+def p8_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[0]
+
+
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))[1]
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages(load(spark, sf_dir, "documents"))
 
@@ -60,6 +78,10 @@ QUERIES = {
     "p4_found": p4_found,
     "p4_consistent": p4_consistent,
     "p6_found": p6_found,
+    "p7_packed": p7_packed,
+    "p7_fill": p7_fill,
+    "p8_mixed": p8_mixed,
+    "p8_shares": p8_shares,
     "p9_found": p9_found,
 }
 
