@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Code-point ranges removed by scrub (controls, soft hyphen, zero-width, bidi, isolates, BOM, annotations).
@@ -10,6 +12,18 @@ UNSAFE = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}\x{7F}-\x{9F}\x{AD}\x{61C}\x{2
 ANONYMOUS = ("", "[deleted]", "[removed]")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def worked_out(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that later steps use but don't work out again: a generator stands between, through which the
+    optimizer moves no expression."""
+    made = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.withColumn("_made", F.explode(F.array(made))).select("*", "_made.*").drop("_made")
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space become one space; ends are cut."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))

@@ -10,7 +10,7 @@ from gleaner import vocab
 
 def store_hits(text: Column) -> Column:
     """The stores whose pattern the (lower case) text meets, in their declared order."""
-    return F.array_compact(F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in vocab.STORE_PATTERNS.items()]))
+    return F.array_compact(F.array(*[F.when(text.rlike(f"(?U){p}"), F.lit(name)) for name, p in vocab.STORE_PATTERNS.items()]))
 
 
 def match_store(name: Column) -> Column:
