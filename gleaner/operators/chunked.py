@@ -29,7 +29,7 @@ class Chunking:
 def number_rows(df: DataFrame, key: str, order: Sequence[Column] = (), settings: Chunking = Chunking()) -> DataFrame:
     """df with `number` (0, 1, ... within the key) and `chunk`. Null is a key of its own; an empty table stays empty.
 
-    df must not have columns named number, chunk, or starting with `_oc_`.
+    Columns of df named number or chunk are replaced, and names starting with `_oc_` are the operator's own.
     """
     df = df.withColumns({"_oc_key": F.col(key), "_oc_null": F.col(key).isNull()})
     if settings.ordered:

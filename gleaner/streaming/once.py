@@ -152,15 +152,18 @@ def _stream_path(spark: SparkSession, path: str) -> str:
 
 
 def redeliveries(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings()) -> DataFrame:
-    """delivery_id of every delivery but the lowest of its message; rows without identifier are none."""
+    """delivery_id of every delivery but the lowest of its message; rows without identifier (null or blank) are none.
+
+    Rows of equal delivery_id count as one delivery. An empty table gives none; other columns are not looked at.
+    """
     kept = deliver_once(spark, path, settings).select(F.col("kept").alias("delivery_id"))
-    rows = spark.read.parquet(path).where(message_key(F.col("id")).isNotNull()).select("delivery_id")
+    rows = spark.read.parquet(path).where(message_key(F.col("id")).isNotNull() & F.col("delivery_id").isNotNull()).select("delivery_id")
     return rows.join(kept, "delivery_id", "left_anti")
 
 
 def once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings()) -> DataFrame:
-    """The table with exactly one row per message; rows without identifier all stay."""
+    """The table, all its columns, with exactly one row per message; rows without identifier or delivery_id all stay."""
     kept = deliver_once(spark, path, settings).select(F.col("kept").alias("delivery_id"))
     rows = spark.read.parquet(path)
-    nameless = rows.where(message_key(F.col("id")).isNull())
-    return rows.where(message_key(F.col("id")).isNotNull()).join(kept, "delivery_id", "left_semi").unionByName(nameless)
+    nameless = message_key(F.col("id")).isNull() | F.col("delivery_id").isNull()
+    return rows.where(~nameless).join(kept, "delivery_id", "left_semi").unionByName(rows.where(nameless))
