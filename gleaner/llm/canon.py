@@ -263,7 +263,7 @@ def matcher_for(entries: Sequence[Entry], frequency: dict[int, int]) -> Matcher:
 def reference_entries(ref: DataFrame) -> DataFrame:
     """One row per name and alias."""
     written = F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))
-    return ref.select("ref_id", F.col("ref_kind").alias("kind"), "name", F.coalesce("city", F.lit("")).alias("city"), F.explode(written).alias("written"))
+    return ref.select("ref_id", F.col("ref_kind").alias("kind"), "name", F.coalesce("city", F.lit("")).alias("city"), F.explode(written).alias("written")).where("ref_id is not null and kind is not null and name is not null and written is not null")
 
 
 def map_to_list(values: DataFrame, ref: DataFrame) -> DataFrame:

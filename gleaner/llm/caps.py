@@ -96,11 +96,12 @@ def cutoffs(records: DataFrame, keys: Sequence[str], settings: CapSettings = Cap
 
 
 def beyond_cap(records: DataFrame, keys: Sequence[str], settings: CapSettings = CapSettings()) -> DataFrame:
-    """The records (all their columns) beyond the cap of their group."""
+    """The records (all their columns) beyond the cap of their group. Names starting with `_cap_` are the operator's own."""
     cuts = cutoffs(records.select(*keys, "quality", "tie"), keys, settings)
-    joined = lookup_join(records, cuts, keys, "total")
-    worse = (F.col("quality") > F.col("cut_quality")) | ((F.col("quality") == F.col("cut_quality")) & (F.col("tie") > F.col("cut_tie")))
-    return joined.where(worse).drop("cut_quality", "cut_tie", "total")
+    cuts = cuts.select(*keys, F.col("cut_quality").alias("_cap_q"), F.col("cut_tie").alias("_cap_t"), F.col("total").alias("_cap_n"))
+    joined = lookup_join(records, cuts, keys, "_cap_n")
+    worse = (F.col("quality") > F.col("_cap_q")) | ((F.col("quality") == F.col("_cap_q")) & (F.col("tie") > F.col("_cap_t")))
+    return joined.where(worse).select(records.columns)
 
 
 def claim_records(claims: DataFrame) -> DataFrame:
@@ -112,7 +113,7 @@ def claim_records(claims: DataFrame) -> DataFrame:
         quality_number(confidence_rank(F.col("confidence")), F.col("created_utc")).alias("quality"), F.col("claim_row").alias("tie"),
     )
     first = marked.groupBy("f0", "f1").agg(F.min("tie").alias("tie"))
-    counted = marked.where(F.col("contributor").isNotNull() & (F.col("store") != "")).drop("f0", "f1")
+    counted = marked.where(F.col("contributor").isNotNull() & (F.col("store") != "") & F.col("tie").isNotNull()).drop("f0", "f1")
     return counted.join(first.select("tie"), "tie", "left_semi").select("contributor", "store", "quality", "tie")
 
 

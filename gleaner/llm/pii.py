@@ -414,7 +414,7 @@ def _names(names: DataFrame, most: int = 100_000) -> tuple[list[str], list[str]]
 
 
 def found_types(df: DataFrame, names: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
-    """key, field, pii_type: once for each field and each type it holds at least once."""
+    """key, field, pii_type: once for each field and each type it holds at least once. Rows without key are left out."""
     shared = df.sparkSession.sparkContext.broadcast(_names(names))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -430,7 +430,7 @@ def found_types(df: DataFrame, names: DataFrame, key: str, fields: Sequence[str]
                             kinds.append(kind)
             yield pd.DataFrame({key: pd.array(keys, dtype="Int64"), "field": at, "pii_type": kinds})
 
-    return df.select(key, *fields).mapInPandas(search, f"{key} bigint, field string, pii_type string")
+    return df.where(F.col(key).isNotNull()).select(key, *fields).mapInPandas(search, f"{key} bigint, field string, pii_type string")
 
 
 def redacted(df: DataFrame, names: DataFrame, fields: Sequence[str]) -> DataFrame:
