@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.operators.lookup import lookup_join
 from gleaner.runtime import fingerprint, materialise
 
 #: Ways to write kinds of place, kinds of street and directions.
@@ -206,8 +207,10 @@ class Matcher:
         self.towns = {"".join(_words(_plain(e.written))): e.name for e in entries if e.kind == "city"}
         self.keys: dict[tuple[str, str], list[int]] = {}
         self.deleted: dict[tuple[str, str], list[str]] = {}
+        self.longest = 0
         for e in entries:
             for where, key in entry_keys(e):
+                self.longest = max(self.longest, len(key))
                 ids = self.keys.setdefault((where, key), [])
                 if not ids:
                     for d in deletions(key, edits_allowed(len(key))):
@@ -218,6 +221,8 @@ class Matcher:
         """(edits, weight, ref_id) of the entries within the edits allowed."""
         if (where, form) in self.keys:
             return [(0, 0.0, i) for i in self.keys[where, form]]
+        if len(form) > self.longest + MAX_EDITS:  # no name is that long
+            return []
         most, seen, out = edits_allowed(len(form)), set(), []
         for d in deletions(form, most):
             for key in self.deleted.get((where, d), ()):
@@ -289,8 +294,9 @@ def map_to_list(values: DataFrame, ref: DataFrame) -> DataFrame:
         matcher = matcher_for(*shared.value)
         for batch in batches:
             ids = [matcher.street(v) if k == "street" else matcher.place(v, k.split(",")) for k, v in zip(batch["kinds"], batch["value"], strict=True)]
-            yield pd.DataFrame({"kinds": batch["kinds"], "value": batch["value"], "ref_id": ids})
+            yield pd.DataFrame({"kinds": list(batch["kinds"]), "value": list(batch["value"]), "n": list(batch["n"]), "ref_id": ids}, dtype=object)
 
-    todo = exact.where("exact_id is null").select("kinds", "value")
-    found = materialise(todo.repartition(spark.sparkContext.defaultParallelism * 2).mapInPandas(match, "kinds string, value string, ref_id bigint").select(f0.alias("f0"), f1.alias("f1"), "ref_id"), "mapped")
-    return kept.select("src", "row_id", f0.alias("f0"), f1.alias("f1")).join(found, ["f0", "f1"]).select("src", "row_id", "ref_id")
+    todo = exact.where("exact_id is null").select("kinds", "value", "n").repartition(spark.sparkContext.defaultParallelism * 2)
+    found = todo.mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint").select(f0.alias("f0"), f1.alias("f1"), "n", "ref_id")
+    rows = kept.select("src", "row_id", f0.alias("f0"), f1.alias("f1"))
+    return lookup_join(rows, found, ["f0", "f1"], "n").select("src", "row_id", "ref_id")

@@ -45,7 +45,7 @@ def quality_number(rank: Column, at: Column) -> Column:
     """Lower is better: rank first, then the later time; a missing time comes last within its rank."""
     latest = (1 << (_TIME_BITS - 1)) - 1
     age = F.least(F.greatest(F.lit(latest) - at, F.lit(0)), F.lit((1 << _TIME_BITS) - 2))
-    return F.shiftleft(rank.cast("bigint"), _TIME_BITS) + F.coalesce(age, F.lit((1 << _TIME_BITS) - 1))
+    return F.shiftleft(rank.cast("bigint"), _TIME_BITS) + F.when(at.isNull(), (1 << _TIME_BITS) - 1).otherwise(age)
 
 
 def _first_bin_over(counts: DataFrame, keys: Sequence[str], bin_col: str, limit: Column) -> DataFrame:

@@ -428,7 +428,7 @@ def found_types(df: DataFrame, names: DataFrame, key: str, fields: Sequence[str]
                             keys.append(k)
                             at.append(field)
                             kinds.append(kind)
-            yield pd.DataFrame({key: pd.array(keys, dtype="Int64"), "field": at, "pii_type": kinds})
+            yield pd.DataFrame({key: keys, "field": at, "pii_type": kinds}, dtype=object)
 
     return df.where(F.col(key).isNotNull()).select(key, *fields).mapInPandas(search, f"{key} bigint, field string, pii_type string")
 
