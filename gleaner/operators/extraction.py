@@ -102,7 +102,7 @@ def extract(documents: DataFrame, provider: Provider, retry: Retry = Retry()) ->
                     rows.append((r.key, "ok", json.dumps(claims), *[used.get(k, 0) for k in ("tokens_in", "tokens_out", "cache_read", "cache_write")]))
                 except Exception as e:  # noqa: BLE001
                     rows.append((r.key, "error", str(e)[:500], 0, 0, 0, 0))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")], dtype=object)
 
     keyed = documents.select(document_key(F.col("kind"), F.col("subreddit"), F.col("id")).alias("key"), "text", "parent_body", "stores")
     return keyed.mapInPandas(run, RESULT)
