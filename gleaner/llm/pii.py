@@ -31,6 +31,7 @@ BEFORE_NAME = (
     "happened to", "started by", "cart with", "cart was", "office and", "card to", "signed", "regards,", "spoke to", "spoke with", "talked to", "attn:", "attn", "c/o",
     "—", "–",
 )
+CERTAIN_BEFORE = ("name:", "contact", "ask for", "shout out to", "thanks to", "neighbor", "neighbour", "manager", "served by", "filed under", "happened to", "card to")
 AFTER_NAME = ("at the register", "at the fish counter", "sold me", "wrote back", "works nights", "refused the", "who was great", "in the bakery")
 TITLES = ("dr", "mr", "mrs", "ms", "mx", "prof", "miss")
 NO_NAME = set(
@@ -230,7 +231,7 @@ class Finder:
         if not any(k in hits for k in ("name", "before", "after", "title")):
             return
         done = -1
-        cue_ends = {end for start, end, _ in hits.get("before", ())}
+        cue_ends = {end: word for _, end, word in hits.get("before", ())}
         for start, end, word in sorted([*hits.get("name", ()), *hits.get("title", ())]):
             if start >= done:
                 found = self._around(t, low, start, end)
@@ -238,7 +239,7 @@ class Finder:
                     done = found.end
                     yield found
         for end in sorted(cue_ends):
-            found = self._introduced(t, low, end)
+            found = self._introduced(t, low, end, cue_ends[end] in CERTAIN_BEFORE)
             if found:
                 yield found
         for start, _, _ in hits.get("after", ()):
@@ -347,7 +348,7 @@ class Finder:
             return Span(m.start(), m.end(), "name")
         return None
 
-    def _introduced(self, t: str, low: str, end: int) -> Span | None:
+    def _introduced(self, t: str, low: str, end: int, certain: bool) -> Span | None:
         at = end
         while at < len(t) and at < end + 3 and t[at] in " \n:":
             at += 1
@@ -356,7 +357,16 @@ class Finder:
         title = re.compile(rf"(?:{'|'.join(TITLES)})\b\.? ", re.I).match(t, at)
         if title:
             at = title.end()
-        return self._known(t, self._run(t, at), strict=False) or self._reversed(t, at, strict=False)
+        run = self._run(t, at)
+        found = self._known(t, run, strict=False) or self._reversed(t, at, strict=False)
+        if found or not certain or len(run) < 2:
+            return found
+        # text without capitals: two plain words where nothing but a person can stand, and where a name ends
+        k = 2 if len(run) > 2 and len(run[1][2]) == 1 else 1
+        a, b = run[0], run[k]
+        if a[2].islower() and b[2].islower() and self._plain_word(a[3]) and self._plain_word(b[3]) and len(b[3]) > 3 and _ENDS_NAME.match(t, b[1]):
+            return Span(a[0], b[1], "name")
+        return None
 
     def _followed(self, t: str, start: int) -> Span | None:
         """The words straight before a phrase that only follows a person."""
