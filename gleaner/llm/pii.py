@@ -294,6 +294,8 @@ class Finder:
                 return Span(a[0], b[1], "name")
             if not strict and self._could(b[2], b[3]) and len(b[2]) > 3 and (given or self._could(a[2], a[3])):
                 return Span(a[0], b[1], "name")
+        if not strict and len(run) > 2 and all(self._could(w[2], w[3]) for w in run[:3]) and len(run[2][2]) > 3:
+            return Span(a[0], run[2][1], "name")
         return None
 
     def _around(self, t: str, low: str, start: int, end: int) -> Span | None:
