@@ -11,6 +11,7 @@ from gleaner import vocab
 from gleaner.config import Settings
 from gleaner.functions import scoring
 from gleaner.functions.text import UNSAFE, fold_key, strip
+from gleaner.operators.lookup import heavy_keys, left_lookup
 from gleaner.runtime import fingerprint, materialise
 
 #: Rounds after which independence_caps gives up; each round settles at least the best open row of every group.
@@ -83,12 +84,13 @@ def independence_caps(claims: DataFrame, s: Settings = Settings()) -> DataFrame:
     open_rows = materialise(marked.select("claim_row", "_rank", "_doc", "_cell"), "caps")
     kept = None
     quotas = (("_doc", s.per_document), ("_cell", s.per_author_cell))
+    heavy = {group: heavy_keys(open_rows, group) for group, _ in quotas}
     for _ in range(MAX_ROUNDS):
         state = open_rows
         for group, quota in quotas:
             if kept is not None:
                 used = kept.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias(f"{group}_used"))
-                state = state.join(used, group, "left")
+                state = left_lookup(state, used, group, heavy[group])
             else:
                 state = state.withColumn(f"{group}_used", F.lit(None).cast("bigint"))
         # a full quota was filled by claims that come before every open claim of its group

@@ -29,3 +29,20 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight:
     hot = rows.join(F.broadcast(heavy), keys)
     cold = rows.join(F.broadcast(heavy.select(keys)), keys, "left_anti").join(light, keys)
     return hot.unionByName(cold)
+
+
+def heavy_keys(rows: DataFrame, key: str, most: int = HEAVY_KEYS) -> DataFrame:
+    """The keys with most rows, at most so many; null is none."""
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return materialise(counts.orderBy(F.desc("n"), key).limit(most).select(key), "heavy")
+
+
+def left_lookup(rows: DataFrame, table: DataFrame, key: str, heavy: DataFrame) -> DataFrame:
+    """Left join with a table unique on key. Rows of heavy keys (as from heavy_keys) and rows without key stay where they
+    are: for those only the heavy keys' part of the table, bounded as they are, is broadcast."""
+    marked = heavy.withColumn("_heavy", F.lit(True))
+    split = rows.join(F.broadcast(marked), key, "left")
+    few = table.join(F.broadcast(heavy), key, "left_semi")
+    hot = split.where(F.col("_heavy") | F.col(key).isNull()).join(F.broadcast(few), key, "left")
+    cold = split.where(F.col("_heavy").isNull() & F.col(key).isNotNull()).join(table, key, "left")
+    return hot.unionByName(cold).drop("_heavy")

@@ -60,13 +60,6 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame, *, rows_per_task: int | None = None) -> DataFrame:
-    """Repartition a narrow scan for CPU-bound work: the parallelism of the cluster, or more for large inputs."""
-    sc = df.sparkSession.sparkContext
-    n = max(sc.defaultParallelism, df.rdd.getNumPartitions())
-    return df.repartition(n)
-
-
 def fingerprint(*cols: Column | str) -> list[Column]:
     """128 bits over columns as two longs; null and empty stay different."""
     parts: list[Column] = []
