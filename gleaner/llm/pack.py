@@ -27,11 +27,13 @@ MAX_CAPACITY = 1 << 20
 
 @dataclass(frozen=True)
 class PackSettings:
-    """window: unused part of a container that a combination may leave. partners: second lengths tried for each first.
-    steps: of the solver."""
+    """window: unused part of a container that a combination may leave. partners: second lengths tried for each first,
+    fewer where there are so many lengths that more than `combinations` would be tried (this bounds the driver's time and
+    memory; what combinations don't hold is packed greedily). steps: of the solver."""
 
     window: float = 0.005
     partners: int = 24
+    combinations: int = 100_000
     steps: int = 300
 
 
@@ -65,6 +67,7 @@ def combinations_of(histogram: Mapping[int, int], capacity: int, settings: PackS
         if sum(n * k for n, k in merged.items()) >= capacity - slack:
             found.add(tuple(sorted(merged.items(), reverse=True)))
 
+    partners = max(1, min(settings.partners, settings.combinations // (8 * max(1, len(lengths)))))
     for a in lengths:
         most = capacity // a
         for k in sorted({most, most - 1, most // 2, 1} - {0}):
@@ -78,7 +81,7 @@ def combinations_of(histogram: Mapping[int, int], capacity: int, settings: PackS
                 continue
             # the nearest partner, and others spread over the lengths below it
             at = bisect_right(lengths, rest) - 1
-            spread = {at, *np.linspace(0, at, settings.partners, dtype=int).tolist()}
+            spread = {at, *np.linspace(0, at, partners, dtype=int).tolist()}
             for i in spread:
                 b = lengths[i]
                 for kb in sorted({1, rest // b}):
