@@ -32,7 +32,7 @@ def publish(df: DataFrame, path: str, *, fmt: str = "parquet", allow_empty: bool
     """Write beside, look at what was written, then swap. An empty result leaves the old one in place and is an error."""
     spark = df.sparkSession
     staged = f"{path}.part-{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).save(staged)
+    df.write.format(fmt).option("ignoreNullFields", "false").save(staged)
     written = spark.read.schema(df.schema).format(fmt).load(staged)
     try:
         if not allow_empty and written.isEmpty():
