@@ -69,12 +69,10 @@ def accept_once(
     )
     lanes = seen.unionByName(source.withColumn("raw", F.lit(True)))
     delay = _seconds(settings.delay)
-    clock: dict[int, float] = {}
+    clock: dict[int, int | None] = {}
 
     def write(batch: DataFrame, number: int) -> None:
-        horizon = max((t for n, t in clock.items() if n < number), default=None)
-        if horizon is None:
-            horizon = _logged_clock(spark, log_path, number)
+        horizon = clock.get(number - 1) or _logged_clock(spark, log_path, number)
         watch = Observation()
         observed = batch.observe(watch, F.max(F.unix_timestamp("event_at")).alias("latest"))
         late = F.lit(False) if horizon is None else F.unix_timestamp("event_at") < horizon - delay
@@ -87,9 +85,9 @@ def accept_once(
             known = accepted(spark, log_path, before=number).withColumnRenamed("kept", "before")
             lowest = lowest.join(known, ["scope", "message"], "left").where(F.col("before").isNull() | (F.col("kept") < F.col("before"))).drop("before")
         lowest.write.mode("overwrite").parquet(f"{log_path}/batch={number}")
-        latest = watch.get.get("latest")
-        clock[number] = latest if latest is not None else float("-inf")
-        spark.createDataFrame([(number, latest)], "number int, latest bigint").coalesce(1).write.mode("overwrite").parquet(f"{log_path}_clock/batch={number}")
+        # the latest event time of this and all earlier micro-batches
+        clock[number] = max((t for t in (watch.get.get("latest"), horizon) if t is not None), default=None)
+        spark.createDataFrame([(clock[number],)], "latest bigint").coalesce(1).write.mode("overwrite").parquet(f"{log_path}_clock/batch={number}")
 
     return (
         lanes.writeStream.outputMode("update")
@@ -100,12 +98,11 @@ def accept_once(
     )
 
 
-def _logged_clock(spark: SparkSession, log_path: str, before: int) -> float | None:
-    """After a restart: the latest event time of the earlier micro-batches."""
-    if before == 0:
+def _logged_clock(spark: SparkSession, log_path: str, number: int) -> int | None:
+    """After a restart: the latest event time up to the micro-batch before this one."""
+    if number == 0:
         return None
-    times = [spark.read.schema("number int, latest bigint").parquet(f"{log_path}_clock/batch={n}").first()[1] for n in range(max(0, before - 64), before)]
-    return max((t for t in times if t is not None), default=None)
+    return spark.read.schema("latest bigint").parquet(f"{log_path}_clock/batch={number - 1}").first()[0]
 
 
 def accepted(spark: SparkSession, log_path: str, before: int | None = None) -> DataFrame:
