@@ -218,6 +218,11 @@ ORACLES = {
     "flt_may_mention": "SELECT count(*) AS n_without, cast(0 AS BIGINT) AS n_missed FROM candidates WHERE text IS NOT NULL AND NOT (" + " OR ".join(f"contains(lower(text), '{x}')" for x in vocab.STORE_LITERALS) + ")",
     "str_matched_stores": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, array_to_string(own, '|') AS stores FROM own",
     "win_first_mention": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, cast(coalesce({_AT}, 0) AS BIGINT) AS at FROM own",
+    "str_excerpt": f"""WITH d AS (SELECT doc_id, text, lower(text) AS low, substr(text, 1, 6000) AS head, lower(substr(text, 1, 6000)) AS hlow FROM documents WHERE text IS NOT NULL),
+        o AS (SELECT *, {_gated('hits', 'low')} AS own, {_gated('hh', 'hlow')} AS hown FROM (SELECT *, {_hits('low')} AS hits, {_hits('hlow')} AS hh FROM d)),
+        a AS (SELECT *, coalesce({_AT}, 0) AS pos FROM o WHERE len(own) > 0)
+        SELECT doc_id, md5(CASE WHEN length(text) <= 6000 THEN text WHEN len(hown) > 0 THEN head ELSE substr(text, cast(greatest(0, pos - 1500) + 1 AS BIGINT), 6000) END) AS digest,
+            length(text) > 6000 AS truncated FROM a""",
     "str_document_key": "SELECT delivery_id, substr(kind, 1, 1) || '_' || subreddit || '_' || id AS key FROM candidates WHERE id IS NOT NULL",
     "str_fence": "SELECT delivery_id, 'DOC-' || upper(substr(sha256(coalesce(parent_body, '') || chr(0) || text), 1, 16)) AS fence FROM candidates WHERE text IS NOT NULL",
     "flt_qualify": f"WITH {_DOCS}, {_QUALIFIED} SELECT delivery_id, stores, truncated, cast(parent_chars AS BIGINT) AS parent_chars FROM qualified",
