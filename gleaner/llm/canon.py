@@ -261,42 +261,92 @@ class Matcher:
         return self.best([x for i, (words, _) in enumerate(forms) if not (i and "".join(words) in self.towns) for x in self.near("base", "".join(words))], town)
 
 
-def matcher_for(entries: Sequence[Entry], frequency: dict[int, int]) -> Matcher:
-    return Matcher(entries, frequency)
-
-
 def reference_entries(ref: DataFrame) -> DataFrame:
     """One row per name and alias."""
     written = F.array_union(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))
     return ref.select("ref_id", F.col("ref_kind").alias("kind"), "name", F.coalesce("city", F.lit("")).alias("city"), F.explode(written).alias("written")).where("ref_id is not null and kind is not null and name is not null and written is not null")
 
 
-def map_to_list(values: DataFrame, ref: DataFrame) -> DataFrame:
+def lookups_of(value: str, kinds: str) -> set[tuple[str, str]]:
+    """(list, form) pairs under which a value is looked up."""
+    if kinds == "street":
+        return {(where, "".join(words)) for words, _ in street_forms(value) for where in ("street", "base", "city")}
+    return {(kind, "".join(words)) for words in place_forms(value) for kind in kinds.split(",")}
+
+
+def decide(matcher: Matcher, value: str, kinds: str) -> int:
+    return matcher.street(value) if kinds == "street" else matcher.place(value, kinds.split(","))
+
+
+def match_by_broadcast(todo: DataFrame, entries: DataFrame) -> DataFrame:
+    """kinds, value, n, ref_id with the whole dictionary in each worker."""
+    rows = [(Entry(r["ref_id"], r["kind"], r["name"], r["city"], r["written"]), r["uses"]) for r in entries.collect()]
+    shared = todo.sparkSession.sparkContext.broadcast(([e for e, _ in rows], {e.ref_id: n for e, n in rows}))
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        matcher = Matcher(*shared.value)
+        for batch in batches:
+            ids = [decide(matcher, v, k) for k, v in zip(batch["kinds"], batch["value"], strict=True)]
+            yield pd.DataFrame({"kinds": list(batch["kinds"]), "value": list(batch["value"]), "n": list(batch["n"]), "ref_id": ids}, dtype=object)
+
+    return todo.mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint")
+
+
+def match_by_join(todo: DataFrame, entries: DataFrame) -> DataFrame:
+    """The same for a dictionary of any size: deletions of names and of values are joined, and each value is decided
+    with the few entries it met."""
+
+    def name_deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for r in batch.itertuples(index=False):
+                for where, key in entry_keys(Entry(r.ref_id, r.kind, r.name, r.city, r.written)):
+                    out += [(where, d, r.ref_id, r.kind, r.name, r.city, r.written, r.uses) for d in deletions(key, edits_allowed(len(key)))]
+            yield pd.DataFrame(out, columns=["where_", "deletion", "ref_id", "kind", "name", "city", "written", "uses"], dtype=object)
+
+    longest = (entries.agg(F.max(F.length("written"))).first()[0] or 0) + MAX_EDITS
+
+    def value_deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for k, v in zip(batch["kinds"], batch["value"], strict=True):
+                out += [(k, v, where, d) for where, form in lookups_of(v, k) if len(form) <= longest for d in deletions(form, edits_allowed(len(form)))]
+            yield pd.DataFrame(out, columns=["kinds", "value", "where_", "deletion"], dtype=object)
+
+    names = entries.mapInPandas(name_deletions, "where_ string, deletion string, ref_id bigint, kind string, name string, city string, written string, uses bigint")
+    tried = todo.select("kinds", "value").mapInPandas(value_deletions, "kinds string, value string, where_ string, deletion string")
+    entry = F.struct("ref_id", "kind", "name", "city", "written", "uses")
+    met = tried.join(names, ["where_", "deletion"]).groupBy("kinds", "value").agg(F.collect_set(entry).alias("met"))
+
+    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids = []
+            for k, v, met_ in zip(batch["kinds"], batch["value"], batch["met"], strict=True):
+                found = [] if met_ is None else [(Entry(e["ref_id"], e["kind"], e["name"], e["city"], e["written"]), e["uses"]) for e in met_]
+                ids.append(decide(Matcher([e for e, _ in found], {e.ref_id: n for e, n in found}), v, k) if found else 0)
+            yield pd.DataFrame({"kinds": list(batch["kinds"]), "value": list(batch["value"]), "n": list(batch["n"]), "ref_id": ids}, dtype=object)
+
+    return todo.join(met, ["kinds", "value"], "left").select("kinds", "value", "n", "met").mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint")
+
+
+def map_to_list(values: DataFrame, ref: DataFrame, broadcast_entries: int = MAX_BROADCAST_ENTRIES) -> DataFrame:
     """src, row_id, ref_id for each value (columns src, row_id, value, kinds) that is not blank and not, letter for letter,
     the name of an entry of its kinds. kinds: the kinds of entry allowed, as a comma list, the preferred first.
 
     Each distinct value is matched once. ref_id is 0 where the list has none. Of entries equally near, the one the
-    values use more often exactly is taken, then the lower ref_id.
+    values use more often exactly is taken, then the lower ref_id. A list of more than broadcast_entries names and aliases
+    is joined instead of broadcast.
     """
     spark = values.sparkSession
     names = ref.select(F.col("ref_id").alias("exact_id"), F.col("ref_kind").alias("exact_kind"), F.col("name").alias("exact_name"))
     kept = values.where(F.regexp_replace("value", r"(?U)\s+", "") != "")
     f0, f1 = fingerprint("kinds", "value")
     counted = materialise(kept.groupBy("kinds", "value").agg(F.count(F.lit(1)).alias("n")), "values")
-    exact = counted.join(F.broadcast(names), (F.col("value") == F.col("exact_name")) & (F.array_contains(F.split("kinds", ","), F.col("exact_kind"))), "left")
-    frequency = {r["exact_id"]: r["n"] for r in exact.where("exact_id is not null").groupBy("exact_id").agg(F.sum("n").alias("n")).collect()}
-    rows = reference_entries(ref).limit(MAX_BROADCAST_ENTRIES + 1).collect()
-    if len(rows) > MAX_BROADCAST_ENTRIES:
-        raise ValueError(f"the list has more than {MAX_BROADCAST_ENTRIES} names; split it by kind or region")
-    shared = spark.sparkContext.broadcast(([Entry(r["ref_id"], r["kind"], r["name"], r["city"], r["written"]) for r in rows], frequency))
-
-    def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        matcher = matcher_for(*shared.value)
-        for batch in batches:
-            ids = [matcher.street(v) if k == "street" else matcher.place(v, k.split(",")) for k, v in zip(batch["kinds"], batch["value"], strict=True)]
-            yield pd.DataFrame({"kinds": list(batch["kinds"]), "value": list(batch["value"]), "n": list(batch["n"]), "ref_id": ids}, dtype=object)
-
+    exact = counted.join(names, (F.col("value") == F.col("exact_name")) & (F.array_contains(F.split("kinds", ","), F.col("exact_kind"))), "left")
+    uses = exact.where("exact_id is not null").groupBy(F.col("exact_id").alias("ref_id")).agg(F.sum("n").alias("uses"))
+    entries = materialise(reference_entries(ref).join(uses, "ref_id", "left").fillna(0, ["uses"]), "entries")
     todo = exact.where("exact_id is null").select("kinds", "value", "n").repartition(spark.sparkContext.defaultParallelism * 2)
-    found = todo.mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint").select(f0.alias("f0"), f1.alias("f1"), "n", "ref_id")
+    matched = (match_by_broadcast if entries.count() <= broadcast_entries else match_by_join)(todo, entries)
+    found = matched.select(f0.alias("f0"), f1.alias("f1"), "n", "ref_id")
     rows = kept.select("src", "row_id", f0.alias("f0"), f1.alias("f1"))
     return lookup_join(rows, found, ["f0", "f1"], "n").select("src", "row_id", "ref_id")

@@ -48,15 +48,15 @@ def test_deletions_meet_every_name_within_the_edits():
     assert "abc" in deletions("abxcy")
 
 
-@pytest.mark.parametrize(
-    "kinds,value,want",
-    [
-        ("branch,city", "the treltmore ctr. one", 3), ("branch,city", "TreltmoreCentre", 3), ("branch,city", "Treltmore Center, Paiststead", 3), ("branch,city", "Treltmroe Ctr (MA)", 3),
-        ("branch,city", "paistsead", 1), ("branch,city", "N. Paiststead", 2), ("branch,city", "Grouckton", 3), ("branch,city", "the big one", 0), ("branch,city", "Treltmore Plaza", 0),
-        ("city", "Nth Paiststead, MA 00412", 2), ("city", "West Bomgate", 0), ("street", "12 Pearington Ter., Apt 4", 4), ("street", "Unit 3, 88B pearingtn dr", 5),
-        ("street", "Siskinggate 307", 7), ("street", "Pearington 4, Bomgate", 5), ("street", "P.O. Box 9", 0), ("street", "9 Siskinggate Road", 0), ("city", "x" * 200_000, 0),
-    ],
-)
+VALUES = [
+    ("branch,city", "the treltmore ctr. one", 3), ("branch,city", "TreltmoreCentre", 3), ("branch,city", "Treltmore Center, Paiststead", 3), ("branch,city", "Treltmroe Ctr (MA)", 3),
+    ("branch,city", "paistsead", 1), ("branch,city", "N. Paiststead", 2), ("branch,city", "Grouckton", 3), ("branch,city", "the big one", 0), ("branch,city", "Treltmore Plaza", 0),
+    ("city", "Nth Paiststead, MA 00412", 2), ("city", "West Bomgate", 0), ("street", "12 Pearington Ter., Apt 4", 4), ("street", "Unit 3, 88B pearingtn dr", 5),
+    ("street", "Siskinggate 307", 7), ("street", "Pearington 4, Bomgate", 5), ("street", "P.O. Box 9", 0), ("street", "9 Siskinggate Road", 0), ("city", "x" * 200_000, 0),
+]
+
+
+@pytest.mark.parametrize("kinds,value,want", VALUES)
 def test_values(kinds, value, want):
     m = Matcher([Entry(i, k, n, c, w) for i, k, n, c, al in REF for w in [n, *(al or [])]], {})
     assert (m.street(value) if kinds == "street" else m.place(value, kinds.split(","))) == want
@@ -68,5 +68,9 @@ def test_rows(spark):
     schema = "src string, row_id bigint, value string, kinds string"
     got = sorted(tuple(r) for r in map_to_list(spark.createDataFrame(values, schema), ref).collect())
     assert got == [("s", 2, 6), ("s", 5, 6), ("s", 6, 0)]
+    typed = [(str(i), i, v, k) for i, (k, v, _) in enumerate(VALUES)]
+    for most in (0, 1000):  # joined, broadcast
+        got = {r["row_id"]: r["ref_id"] for r in map_to_list(spark.createDataFrame(typed, schema), ref, most).collect()}
+        assert got == {i: want for i, (_, _, want) in enumerate(VALUES)}
     assert map_to_list(spark.createDataFrame([], schema), ref).count() == 0
     assert [r["ref_id"] for r in map_to_list(spark.createDataFrame(values[1:2], schema), ref.limit(0)).collect()] == [0]
