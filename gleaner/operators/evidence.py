@@ -111,7 +111,7 @@ def independence_caps(claims: DataFrame, s: Settings = Settings()) -> DataFrame:
         stays = materialise(state.join(heads, "claim_row", "left_semi").select("claim_row", "_doc", "_cell"), "caps")
         if stays.isEmpty():
             break
-        kept = stays if kept is None else materialise(kept.unionByName(stays), "caps")
+        kept = stays if kept is None else kept.unionByName(stays)
         open_rows = state.join(stays.select("claim_row"), "claim_row", "left_anti").select("claim_row", "_rank", "_doc", "_cell")
     else:
         raise RuntimeError("independence_caps did not settle")
