@@ -14,7 +14,7 @@ from gleaner.operators import evidence as ev
 from gleaner.operators import extraction as ex
 from gleaner.operators import ratings as rt
 from gleaner.operators import selection as sel
-from gleaner.runtime import materialise, session
+from gleaner.runtime import materialise, release, session
 from gleaner.sources import jsonl, sinks
 
 
@@ -78,6 +78,8 @@ def main(argv: list[str] | None = None) -> int:
     except FileNotFoundError as e:
         print(e, file=sys.stderr)
         return 2
+    finally:
+        release(spark)
     return 0
 
 

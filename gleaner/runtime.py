@@ -45,8 +45,18 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dirs[app]
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/gleaner/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/gleaner/{tag}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has put into the shared folder; results not yet written are lost with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
