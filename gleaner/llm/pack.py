@@ -10,7 +10,7 @@ length by offset chunking and find their container in the plan, so no task sees
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,12 +28,10 @@ MAX_CAPACITY = 1 << 20
 @dataclass(frozen=True)
 class PackSettings:
     """window: unused part of a container that a combination may leave. partners: second lengths tried for each first,
-    fewer where there are so many lengths that more than `combinations` would be tried (this bounds the driver's time and
-    memory; what combinations don't hold is packed greedily). steps: of the solver."""
+    as many at every size of the input. steps: of the solver."""
 
     window: float = 0.005
     partners: int = 24
-    combinations: int = 100_000
     steps: int = 300
 
 
@@ -49,69 +47,120 @@ class Pattern:
         return sum(n * k for n, k in self.parts)
 
 
-def combinations_of(histogram: Mapping[int, int], capacity: int, settings: PackSettings) -> list[tuple[tuple[int, int], ...]]:
-    """Combinations of up to three lengths, each some times over, that fill all but the window."""
-    lengths = sorted(n for n, c in histogram.items() if c > 0)
+@dataclass(frozen=True)
+class Combinations:
+    """A column for each way to fill a container: up to four lengths, as positions in `lengths`, and how many of each (0
+    where there are fewer), the longest first."""
+
+    lengths: np.ndarray
+    index: np.ndarray
+    count: np.ndarray
+
+    def __len__(self) -> int:
+        return self.index.shape[1]
+
+    def __iter__(self) -> Iterator[tuple[tuple[int, int], ...]]:
+        return map(self.parts, range(len(self)))
+
+    def filled(self) -> np.ndarray:
+        return (self.lengths[self.index] * self.count).sum(0)
+
+    def parts(self, j: int) -> tuple[tuple[int, int], ...]:
+        return tuple((int(self.lengths[i]), int(k)) for i, k in zip(self.index[:, j], self.count[:, j], strict=True) if k)
+
+
+#: Columns of combinations that are worked on at once; it bounds the memory of intermediate arrays only.
+BLOCK = 1 << 17
+
+
+def _merged(index: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal lengths of a column put together, the longest first, unused places last (position and count 0)."""
+    place = np.where(count > 0, index, -1)
+    for _ in range(2):
+        order = np.argsort(-place, axis=0, kind="stable")
+        place, count = np.take_along_axis(place, order, 0), np.take_along_axis(count, order, 0)
+        for j in range(1, len(place)):
+            same = (place[j] == place[j - 1]) & (place[j] >= 0)
+            count[j] += np.where(same, count[j - 1], 0)
+            count[j - 1], place[j - 1] = np.where(same, 0, count[j - 1]), np.where(same, -1, place[j - 1])
+    return np.maximum(place, 0).astype(np.int32), count.astype(np.int32)
+
+
+def _distinct(index: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = np.where(count > 0, (index.astype(np.int64) + 1) << 21 | count, 0)
+    order = np.lexsort(keys[::-1])
+    keys = keys[:, order]
+    first = np.ones(keys.shape[1], bool)
+    first[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
+    return index[:, order[first]], count[:, order[first]]
+
+
+def combinations_of(histogram: Mapping[int, int], capacity: int, settings: PackSettings) -> Combinations:
+    """Combinations of up to three lengths, each some times over, and one more, that fill all but the window."""
+    lengths = np.array(sorted(n for n, c in histogram.items() if c > 0), np.int64)
     slack = int(capacity * settings.window)
-    found: set[tuple[tuple[int, int], ...]] = set()
-
-    def largest_upto(x: int) -> int | None:
-        i = bisect_right(lengths, x)
-        return lengths[i - 1] if i else None
-
-    def add(parts: Iterable[tuple[int, int]]) -> None:
-        merged: dict[int, int] = {}
-        for n, k in parts:
-            if k:
-                merged[n] = merged.get(n, 0) + k
-        if sum(n * k for n, k in merged.items()) >= capacity - slack:
-            found.add(tuple(sorted(merged.items(), reverse=True)))
-
-    partners = max(1, min(settings.partners, settings.combinations // (8 * max(1, len(lengths)))))
-    for a in lengths:
-        most = capacity // a
-        for k in sorted({most, most - 1, most // 2, 1} - {0}):
-            rest = capacity - k * a
-            if rest == 0:
-                add([(a, k)])
-                continue
-            b = largest_upto(rest)
-            if b is None:
-                add([(a, k)])
-                continue
-            # the nearest partner, and others spread over the lengths below it
-            at = bisect_right(lengths, rest) - 1
-            spread = {at, *np.linspace(0, at, partners, dtype=int).tolist()}
-            for i in spread:
-                b = lengths[i]
-                for kb in sorted({1, rest // b}):
-                    left = rest - kb * b
-                    c = largest_upto(left)
-                    if c is None:
-                        add([(a, k), (b, kb)])
-                    else:
-                        kc = left // c
-                        add([(a, k), (b, kb), (c, kc)])
-                        d = largest_upto(left - kc * c)
-                        if d is not None:
-                            add([(a, k), (b, kb), (c, kc), (d, 1)])
-    return sorted(found)
-
-
-def repeat_counts(histogram: Mapping[int, int], combos: list[tuple[tuple[int, int], ...]], steps: int) -> np.ndarray:
+    upto = lambda room: np.searchsorted(lengths, room, side="right") - 1
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(*parts: tuple[np.ndarray, np.ndarray]) -> None:
+        index, count = np.zeros((4, len(parts[0][0])), np.int64), np.zeros((4, len(parts[0][0])), np.int64)
+        for j, (i, k) in enumerate(parts):
+            index[j], count[j] = i, k
+        fills = (lengths[index] * count).sum(0) >= capacity - slack
+        found.append(_distinct(*_merged(index[:, fills], count[:, fills])))
+
+    each = max(1, BLOCK // (8 * (settings.partners + 1)))
+    for begin in range(0, len(lengths), each):
+        firsts = np.arange(begin, min(begin + each, len(lengths)))
+        most = capacity // lengths[firsts]
+        a, ka = np.tile(firsts, 4), np.concatenate([most, most - 1, most // 2, np.ones_like(most)])
+        a, ka = a[ka > 0], ka[ka > 0]
+        rest = capacity - ka * lengths[a]
+        at = upto(rest)
+        add((a[at < 0], ka[at < 0]))
+        a, ka, rest, at = (v[at >= 0] for v in (a, ka, rest, at))
+        # the nearest partner, and others spread over the lengths below it
+        b = np.concatenate([np.arange(settings.partners)[:, None] * at // max(1, settings.partners - 1), at[None]]).ravel()
+        a, ka, rest = (np.tile(v, settings.partners + 1) for v in (a, ka, rest))
+        b, kb = np.tile(b, 2), np.concatenate([np.ones_like(b), rest // lengths[b]])
+        a, ka, rest = (np.tile(v, 2) for v in (a, ka, rest))
+        left = rest - kb * lengths[b]
+        c = upto(left)
+        alone = c < 0
+        add((a[alone], ka[alone]), (b[alone], kb[alone]))
+        a, ka, b, kb, left, c = (v[~alone] for v in (a, ka, b, kb, left, c))
+        kc = left // lengths[c]
+        add((a, ka), (b, kb), (c, kc))
+        d = upto(left - kc * lengths[c])
+        more = d >= 0
+        add((a[more], ka[more]), (b[more], kb[more]), (c[more], kc[more]), (d[more], np.ones_like(d[more])))
+    if not found:
+        return Combinations(lengths, np.zeros((4, 0), np.int32), np.zeros((4, 0), np.int32))
+    return Combinations(lengths, *_distinct(np.concatenate([i for i, _ in found], 1), np.concatenate([k for _, k in found], 1)))
+
+
+def repeat_counts(histogram: Mapping[int, int], combos: Combinations, steps: int) -> np.ndarray:
     """x >= 0 with least |A x - h|^2, A being how often each combination has each length; by accelerated projected
     gradients. Rows are scaled by the histogram so that rare lengths count too."""
-    lengths = sorted(histogram)
-    index = {n: i for i, n in enumerate(lengths)}
-    rows = np.array([index[n] for c in combos for n, _ in c])
-    cols = np.array([j for j, c in enumerate(combos) for _ in c])
-    data = np.array([float(k) for c in combos for _, k in c])
-    h = np.array([float(histogram[n]) for n in lengths])
+    h = np.array([float(histogram[n]) for n in combos.lengths.tolist()])
     scale = 1 / np.sqrt(np.maximum(h, 1))
-    data, h = data * scale[rows], h * scale
-    m, n = len(lengths), len(combos)
-    times = lambda x: np.bincount(rows, data * x[cols], minlength=m)
-    back = lambda r: np.bincount(cols, data * r[rows], minlength=n)
+    h = h * scale
+    m, n = len(h), len(combos)
+    blocks = [slice(i, min(i + BLOCK, n)) for i in range(0, n, BLOCK)]
+
+    def times(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(m)
+        for s in blocks:
+            for i, k in zip(combos.index[:, s], combos.count[:, s], strict=True):
+                out += np.bincount(i, k * x[s], minlength=m)
+        return out * scale
+
+    def back(r: np.ndarray) -> np.ndarray:
+        r, out = r * scale, np.empty(n)
+        for s in blocks:
+            out[s] = sum(k * r[i] for i, k in zip(combos.index[:, s], combos.count[:, s], strict=True))
+        return out
+
     v = np.ones(n)
     for _ in range(20):
         v = back(times(v))
@@ -135,14 +184,15 @@ def plan_patterns(histogram: Mapping[int, int], capacity: int, settings: PackSet
         raise ValueError("lengths must be from 1 to the capacity")
     out: list[Pattern] = []
     combos = combinations_of(left, capacity, settings)
-    if combos:
+    if len(combos):
         x = repeat_counts(left, combos, settings.steps)
-        order = np.lexsort((-x, [capacity - sum(n * k for n, k in c) for c in combos]))
-        for j in order:
-            times = min(int(x[j] + 1e-6), *(left[n] // k for n, k in combos[j])) if x[j] >= 1 else 0
+        used = np.flatnonzero(x >= 1)
+        for j in used[np.lexsort((-x[used], capacity - combos.filled()[used]))]:
+            parts = combos.parts(j)
+            times = min(int(x[j] + 1e-6), *(left[n] // k for n, k in parts))
             if times:
-                out.append(Pattern(combos[j], times))
-                for n, k in combos[j]:
+                out.append(Pattern(parts, times))
+                for n, k in parts:
                     left[n] -= k * times
     # the rest: the longest first, then always the longest that still fits
     lengths = sorted(n for n, c in left.items() if c > 0)

@@ -1,10 +1,11 @@
 import random
+from bisect import bisect_right
 from collections import Counter, defaultdict
 
 import pytest
 
 from gleaner.llm.mix import MixSettings, mix
-from gleaner.llm.pack import PackSettings, fill_report, pack_documents, plan_patterns
+from gleaner.llm.pack import combinations_of, PackSettings, fill_report, pack_documents, plan_patterns
 from gleaner.llm.tokens import encoding, Tokenizer
 
 PACKS = "pack_name string, capacity_tokens int"
@@ -41,6 +42,44 @@ def test_a_plan_is_not_worse_than_first_fit(spark):
     assert sum(p.repeats for p in plan_patterns(Counter(sizes), 100, PackSettings(window=0.02))) <= len(bins) + 3
 
 
+def combinations_one_by_one(lengths, capacity, window, partners):
+    found = set()
+
+    def add(*parts):
+        merged = Counter()
+        for n, k in parts:
+            merged[n] += k
+        if sum(n * k for n, k in merged.items()) >= capacity - int(capacity * window):
+            found.add(tuple(sorted(merged.items(), reverse=True)))
+
+    upto = lambda room: bisect_right(lengths, room) - 1
+    for a in lengths:
+        for k in {capacity // a, capacity // a - 1, capacity // a // 2, 1} - {0}:
+            at = upto(capacity - k * a)
+            if at < 0:
+                add((a, k))
+            for i in {at, *(j * at // (partners - 1) for j in range(partners))} if at >= 0 else ():
+                for kb in {1, (capacity - k * a) // lengths[i]}:
+                    left = capacity - k * a - kb * lengths[i]
+                    if upto(left) < 0:
+                        add((a, k), (lengths[i], kb))
+                        continue
+                    c = lengths[upto(left)]
+                    parts = (a, k), (lengths[i], kb), (c, left // c)
+                    add(*parts)
+                    if upto(left % c) >= 0:
+                        add(*parts, (lengths[upto(left % c)], 1))
+    return found
+
+
+@pytest.mark.parametrize("n", [1, 40, 1200])
+def test_as_many_partners_are_tried_at_every_size(n):
+    capacity, settings = 8192, PackSettings()
+    lengths = sorted(random.Random(n).sample(range(1, capacity + 1), n))
+    combos = list(combinations_of(dict.fromkeys(lengths, 3), capacity, settings))
+    assert len(set(combos)) == len(combos) and set(combos) == combinations_one_by_one(lengths, capacity, settings.window, settings.partners)
+
+
 def test_plans_of_nothing_and_of_one():
     assert plan_patterns({}, 10) == []
     assert [(p.parts, p.repeats) for p in plan_patterns({10: 3}, 10)] == [(((10, 1),), 3)]
