@@ -22,11 +22,17 @@ LOG_SCHEMA = "scope string, message string, kept bigint, event_year int"
 @dataclass(frozen=True)
 class OnceSettings:
     """delay: how far event time may lag behind the latest before state expires. window: granularity of expiry.
-    files_per_batch: files of the source that one micro-batch reads."""
+    files_per_batch: files of the source that one micro-batch reads. slices: where above 0, the table's deliveries are
+    first laid out as so many files in their order of arrival, whatever files the table has."""
 
     delay: str = "30 days"
     window: str = "1 day"
     files_per_batch: int = 256
+    slices: int = 0
+
+
+#: A table read as it arrived, in several micro-batches.
+ARRIVALS = OnceSettings(files_per_batch=1, slices=8)
 
 
 def _narrow(df: DataFrame, scope: Column, identifier: Column, event: Column, order: Column) -> DataFrame:
@@ -124,6 +130,11 @@ def deliver_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSe
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = spark.read.parquet(path).schema
     base = scratch_path(spark, "once")
+    if settings.slices:
+        needed = {"scope": "kind", "identifier": "id", "event": "created_utc", "order": "delivery_id"} | columns
+        table = spark.read.parquet(path).select(*dict.fromkeys(needed.values()))
+        _lay_out(table.where(F.col(needed["order"]).isNotNull()), needed["order"], settings.slices, f"{base}/arrivals")
+        schema, path = table.schema, f"{base}/arrivals"
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", settings.files_per_batch).parquet(_stream_path(spark, path))
     query = accept_once(stream, f"{base}/log", f"{base}/state", settings=settings, **columns)
     query.awaitTermination()
@@ -142,13 +153,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _lay_out(table: DataFrame, order: str, slices: int, path: str) -> None:
+    """Write the table as up to so many files, by ranges of order; their ages rise with it, as a stream reads by age."""
+    spark = table.sparkSession
+    table.repartitionByRange(slices, order).write.option("maxRecordsPerFile", 0).parquet(path)
+    fs, folder = _file_system(spark, path)
+    files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    last = max((fs.getFileStatus(p).getModificationTime() for p in files), default=0)
+    for i, p in enumerate(files):
+        fs.setTimes(p, last - 1000 * (len(files) - 1 - i), -1)
+
+
 def _stream_path(spark: SparkSession, path: str) -> str:
     """A stream reads folders or patterns; a table that is one file is given as a pattern which only that file meets."""
     fs, p = _file_system(spark, path)
     return path if fs.getFileStatus(p).isDirectory() else f"{path[:-1]}[{path[-1]}]"
 
 
-def redeliveries(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings()) -> DataFrame:
+def redeliveries(spark: SparkSession, path: str, settings: OnceSettings = ARRIVALS) -> DataFrame:
     """delivery_id of every delivery but the lowest of its message; rows without identifier (null or blank) are none.
 
     Rows of equal delivery_id count as one delivery. An empty table gives none; other columns are not looked at.
@@ -158,7 +180,7 @@ def redeliveries(spark: SparkSession, path: str, settings: OnceSettings = OnceSe
     return rows.join(kept, "delivery_id", "left_anti")
 
 
-def once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings()) -> DataFrame:
+def once(spark: SparkSession, path: str, settings: OnceSettings = ARRIVALS) -> DataFrame:
     """The table, all its columns, with exactly one row per message; rows without identifier or delivery_id all stay."""
     kept = deliver_once(spark, path, settings).select(F.col("kept").alias("delivery_id"))
     rows = spark.read.parquet(path)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from gleaner.streaming import once as once_module
 from gleaner.streaming.once import OnceSettings, accepted, deliver_once, once, redeliveries
 
 SCHEMA = "delivery_id bigint, kind string, id string, created_utc bigint, scope string, kept int"
@@ -58,6 +59,22 @@ def test_late_copies_are_looked_up(spark, tmp_path):
     assert {r["message"]: r["kept"] for r in kept.collect()} == {"a": 1, "b": 2, "old": 4}
 
 
+def test_a_table_of_one_file_is_read_as_it_arrived(spark, tmp_path, monkeypatch):
+    r, day = random.Random(4), 86_400
+    rows = [(d, "posts", f"m{r.randrange(max(1, d - 300), d + 1)}" if d % 3 else f"m{r.randrange(d + 1)}", 1_500_000_000 + d * day, "x", 1) for d in range(600)]
+    first = {}
+    rows = [(d, kind, i, first.setdefault(i, at), x, n) for d, kind, i, at, x, n in rows]  # a copy has its message's time
+    write(spark, rows, tmp_path / "t", 1)
+    queries, start = [], once_module.accept_once
+    monkeypatch.setattr(once_module, "accept_once", lambda *a, **k: queries.append(start(*a, **k)) or queries[-1])
+    assert sorted(x[0] for x in redeliveries(spark, str(tmp_path / "t")).collect()) == brute(rows)
+    progress = [p for p in queries[0].recentProgress if p.numInputRows]
+    states = [s for p in progress for s in p.stateOperators]
+    assert len(progress) > 4
+    assert sum(s.numRowsRemoved for s in states) > 0  # expired
+    assert sum(s.numRowsDroppedByWatermark for s in states) > 0  # late: left to the lookup
+
+
 def test_rows_without_identifier_all_stay_and_columns_too(spark, tmp_path):
     rows = [(1, "posts", None, 5, "s", 7), (2, "posts", " ", 5, "s", 7), (3, "posts", "a", None, "s", 7), (4, "posts", "A", 9, "s", 7), (None, "posts", "a", 9, "s", 7), (5, None, "a", 9, "s", 7)]
     write(spark, rows, tmp_path / "t", 1)
