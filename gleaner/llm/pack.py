@@ -23,6 +23,7 @@ from gleaner.operators.chunked import number_rows
 from gleaner.runtime import materialise
 
 MAX_CAPACITY = 1 << 20
+MAX_PACKS = 1000
 
 
 @dataclass(frozen=True)
@@ -219,20 +220,22 @@ def plan_patterns(histogram: Mapping[int, int], capacity: int, settings: PackSet
 
 @dataclass(frozen=True)
 class Ranges:
-    """The plan as sorted arrays: from the key (list, length, first number) on, k items a container from `start`."""
+    """The plan as sorted arrays: from the key (rank of pack and length in `slots`, first number) on, k items a container
+    from `start`."""
 
+    slots: np.ndarray
     keys: np.ndarray
     starts: np.ndarray
     ks: np.ndarray
 
     def containers(self, slot: np.ndarray, number: np.ndarray) -> np.ndarray:
-        i = np.searchsorted(self.keys, _key(slot, number), side="right") - 1
+        i = np.searchsorted(self.keys, _key(self.slots, slot, number), side="right") - 1
         first = self.keys[i] & ((1 << 40) - 1)
         return self.starts[i] + (number - first) // self.ks[i]
 
 
-def _key(slot: np.ndarray, number: np.ndarray) -> np.ndarray:
-    return (slot.astype(np.int64) << 40) | number.astype(np.int64)
+def _key(slots: np.ndarray, slot: np.ndarray, number: np.ndarray) -> np.ndarray:
+    return np.searchsorted(slots, slot).astype(np.int64) << 40 | number.astype(np.int64)
 
 
 def _slot(pack: int, length: int) -> int:
@@ -241,18 +244,21 @@ def _slot(pack: int, length: int) -> int:
 
 def ranges_of(plans: Mapping[int, list[Pattern]], first: Mapping[int, int]) -> Ranges:
     """plans by pack number; first: the first container number of each."""
-    rows: list[tuple[int, int, int]] = []
+    rows: list[tuple[int, int, int, int]] = []
     for pack, patterns in plans.items():
         at, used = first[pack], {}
         for p in patterns:
             for n, k in p.parts:
                 r0 = used.get(n, 0)
-                rows.append(((_slot(pack, n) << 40) | r0, at, k))
+                rows.append((_slot(pack, n), r0, at, k))
                 used[n] = r0 + k * p.repeats
             at += p.repeats
     rows.sort()
-    a = np.array(rows, dtype=np.int64).reshape(-1, 3)
-    return Ranges(a[:, 0], a[:, 1], a[:, 2])
+    a = np.array(rows, dtype=np.int64).reshape(-1, 4)
+    slots = np.unique(a[:, 0])
+    if len(slots) > 1 << 22:
+        raise ValueError(f"packs have up to {1 << 22} lengths in all")
+    return Ranges(slots, _key(slots, a[:, 0], a[:, 1]), a[:, 2], a[:, 3])
 
 
 def pack_documents(documents: DataFrame, packs: DataFrame, tokenizer: Tokenizer = Tokenizer(), settings: PackSettings = PackSettings()) -> DataFrame:
@@ -260,12 +266,14 @@ def pack_documents(documents: DataFrame, packs: DataFrame, tokenizer: Tokenizer
 
     A document longer than the capacity is split: whole containers for its full parts (part 0, 1, ...), its rest is an
     item like others. Documents without tokens (null or empty text) take no room and have a null container. Documents of
-    equal text are packed each. Packs without name or with a capacity below 1 are left out; there can be 1,000 of them.
+    equal text are packed each. Packs without name or with a capacity below 1 are left out; more than 1,000 others are an error.
     """
     chosen = [
         (i, r["pack_name"], int(r["capacity_tokens"]))
-        for i, r in enumerate(packs.where("pack_name is not null and capacity_tokens >= 1").orderBy("pack_name", "capacity_tokens").limit(1000).collect())
+        for i, r in enumerate(packs.where("pack_name is not null and capacity_tokens >= 1").orderBy("pack_name", "capacity_tokens").limit(MAX_PACKS + 1).collect())
     ]
+    if len(chosen) > MAX_PACKS:
+        raise ValueError(f"there can be {MAX_PACKS} packs")
     if any(c > MAX_CAPACITY for _, _, c in chosen):
         raise ValueError(f"capacities go up to {MAX_CAPACITY}")
     spark = documents.sparkSession

@@ -112,6 +112,20 @@ def test_documents(spark):
     assert pack_documents(df.limit(0), packs).count() == 0
 
 
+def test_many_packs(spark):
+    df = spark.createDataFrame([(i, "milk " * (1 + i % 7)) for i in range(40)], "doc_id bigint, text string")
+    rows = pack_documents(df, spark.createDataFrame([(f"p{i:02}", 20 + i) for i in range(12)], PACKS)).collect()
+    for i in range(12):
+        room = Counter()
+        for x in rows:
+            if x["pack_name"] == f"p{i:02}":
+                room[x["container"]] += x["n_tokens"]
+        assert max(room.values()) <= 20 + i and sorted(room) == list(range(len(room)))
+    assert len(rows) == 12 * 40
+    with pytest.raises(ValueError, match="packs"):
+        pack_documents(df, spark.createDataFrame([(f"p{i}", 9) for i in range(1001)], PACKS))
+
+
 TARGETS = "source string, target_share double, max_repeats int"
 
 
