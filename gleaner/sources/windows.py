@@ -36,6 +36,11 @@ def coverage(fetched: DataFrame, reported: DataFrame, keys: list[str], least: fl
     )
 
 
+def gap_counts(rows: DataFrame) -> DataFrame:
+    """window, gaps: the times in each window of the paged source that were stepped past, so that rows may be missing."""
+    return rows.groupBy("window").agg(F.countDistinct(F.when(F.col("gap"), F.col("created_utc"))).alias("gaps"))
+
+
 class MonthPartition(InputPartition):
     def __init__(self, label: str, first: int, last: int) -> None:
         self.label, self.first, self.last = label, first, last
@@ -57,14 +62,16 @@ class PagedReader(DataSourceReader):
 
     def read(self, partition: MonthPartition) -> Iterator[tuple]:
         """Pages by time: up to 100 rows after the cursor. The cursor goes to the page's last time less one, so rows of
-        that time come again and are known by id; a page of one single time is stepped past."""
+        that time come again and are known by id; a page of one single time is stepped past, and its rows are marked
+        as a gap, for there may be more of that time."""
         after, seen = partition.first - 1, set()
         while True:
             page = [r for r in self.fetch(after, PAGE) if r["created_utc"] <= partition.last]
             fresh = [r for r in page if r["id"] not in seen]
+            gap = len(page) == PAGE and page[0]["created_utc"] == page[-1]["created_utc"]
             for r in fresh:
                 seen.add(r["id"])
-                yield (r["id"], int(r["created_utc"]), r.get("body"), partition.label)
+                yield (r["id"], int(r["created_utc"]), r.get("body"), partition.label, gap)
             if len(page) < PAGE:
                 return
             after = page[-1]["created_utc"] - 1 if fresh and page[-1]["created_utc"] > page[0]["created_utc"] else page[-1]["created_utc"]
@@ -78,7 +85,7 @@ class PagedSource(DataSource):
         return "paged"
 
     def schema(self) -> str:
-        return "id string, created_utc bigint, body string, window string"
+        return "id string, created_utc bigint, body string, window string, gap boolean"
 
     def reader(self, schema) -> PagedReader:  # noqa: ANN001
         return PagedReader(self.options)

@@ -176,3 +176,14 @@ def test_paged_source(spark, monkeypatch):
     spark.dataSource.register(windows.PagedSource)
     months = windows.month_windows(spark, 1_577_836_800, 1_583_020_799).collect()
     assert [m["label"] for m in months] == ["2020-01", "2020-02"] and months[1]["last"] == 1_583_020_799
+
+
+def test_paged_source_marks_gaps(spark, monkeypatch):
+    at = 1_577_836_800
+    crowd = [{"id": f"g{i}", "created_utc": at + (0 if i < 30 else 5 if i < 180 else 9), "body": ""} for i in range(200)]
+    monkeypatch.setattr(windows.importlib, "import_module", lambda _: type("M", (), {"fetch": staticmethod(lambda after, n: [r for r in crowd if r["created_utc"] > after][:n])}))
+    reader = windows.PagedReader({"client": "m:fetch", "start": str(at), "end": str(at + 10)})
+    got = [row for p in reader.partitions() for row in reader.read(p)]
+    assert {r[1] for r in got if r[4]} == {at + 5} and len(got) < len(crowd)
+    rows = spark.createDataFrame(got, windows.PagedSource({}).schema())
+    assert [tuple(r) for r in windows.gap_counts(rows).collect()] == [("2020-01", 1)]
