@@ -37,7 +37,8 @@ def expand(line: Column) -> Column:
     for p in (vocab.RECEIPT_WEIGHED, vocab.RECEIPT_SIZES, vocab.RECEIPT_CODES):
         text = F.regexp_replace(text, p, " ")
     # tables as one string each: looked up without building a map for every word
-    table, skipped = F.lit(f" {vocab.RECEIPT_WORDS} "), F.lit(f" {' '.join([*vocab.RECEIPT_BRANDS, *vocab.RECEIPT_UNITS])} ")
+    pairs = " ".join(f"{short}={full.replace(' ', '_')}" for short, full in vocab.RECEIPT_WORDS.items())
+    table, skipped = F.lit(f" {pairs} "), F.lit(f" {' '.join([*vocab.RECEIPT_BRANDS, *vocab.RECEIPT_UNITS])} ")
 
     def written_out(w: Column) -> Column:
         key = F.concat(F.lit(" "), w, F.lit("="))

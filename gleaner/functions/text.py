@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Code-point ranges removed by scrub (controls, soft hyphen, zero-width, bidi, isolates, BOM, annotations).
-UNSAFE = r"[\x{00}-\x{08}\x{0B}\x{0C}\x{0E}-\x{1F}\x{7F}-\x{9F}\x{AD}\x{61C}\x{200B}-\x{200F}\x{2028}-\x{202E}\x{2060}-\x{206F}\x{FEFF}\x{FFF9}-\x{FFFB}]"
+from gleaner import vocab
+
+UNSAFE = "[" + "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in vocab.UNSAFE_RANGES) + "]"
 ANONYMOUS = ("", "[deleted]", "[removed]")
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,19 +13,20 @@ from gleaner import vocab
 from gleaner.config import Settings
 from gleaner.functions import scoring
 from gleaner.functions.text import UNSAFE, fold_key, strip
-from gleaner.operators.lookup import heavy_keys, left_lookup
+from gleaner.operators.lookup import left_counts
 from gleaner.runtime import fingerprint, materialise
 
-#: Rounds after which independence_caps gives up; each round settles at least the best open row of every group.
-MAX_ROUNDS = 200
+#: Open rows from which independence_caps ends by going through them in one task; some 50 MB.
+FEW_ROWS = 200_000
 
 
 def branch_key(location: Column, store: Column) -> Column:
     """A branch name without its noise variants; '' where it is no place (a category, or the store itself)."""
     key = fold_key(F.coalesce(location, F.lit("")))
-    cut = F.regexp_replace(key, r"^the\s+", "")
-    cut = F.regexp_replace(cut, r"\s+(one|store|location)$", "")
-    cut = F.trim(F.regexp_replace(cut, r",?\s*(ma|mass|massachusetts)$", ""))
+    cut = key
+    for p in vocab.BRANCH_CUTS:
+        cut = F.regexp_replace(cut, p, "")
+    cut = F.trim(cut)
     parts = F.transform(F.split(cut, ","), lambda p: F.regexp_replace(F.trim(p), vocab.STREET_SUFFIX, ""))
     return F.when(key.isin(*vocab.CATEGORIES) | (key == fold_key(store)), "").otherwise(F.array_join(parts, ", "))
 
@@ -64,60 +67,85 @@ def mark_reciprocal(claims: DataFrame) -> DataFrame:
     return claims.join(judged, ["source_key", "comparator_store"], "left").withColumn("reciprocal", F.col("_judged").isNotNull() & (F.col("comparator_store") != "")).drop("_judged")
 
 
-def independence_caps(claims: DataFrame, s: Settings = Settings()) -> DataFrame:
+def independence_caps(claims: DataFrame, s: Settings = Settings(), few: int = FEW_ROWS) -> DataFrame:
     """At most per_document claims of a document about a store, and per_author_cell of a named author in a cell.
 
     In order of confidence, time (latest first), source_key, claim, claim_row, a claim stays unless one of its two quotas
-    is used up; a claim that goes uses neither. Decided in rounds: an open claim stays when in both groups fewer open
-    or kept claims are before it than the quota allows, and goes when kept claims before it fill a quota. Only the best
-    open claims of a group (never more than its quota) are ranked, so a group that holds a third of all rows is cut
-    before the shuffle. Extra columns stay; an empty table gives none.
+    is used up; a claim that goes uses neither. Decided in rounds over the open claims. Groups that have no more open
+    claims than quota left bind nobody; a claim bound by neither group stays at once. Of the others those stay that are,
+    in every group that binds them, among the best so many open ones as the quota has left; claims of a used-up quota go.
+    Only these best ones are ranked, so a group that holds a third of all rows is cut before the shuffle. Each round
+    settles at least the best open claim; what is left once at most `few` claims are open is gone through in order, by one
+    task. Extra columns stay; an empty table gives none.
     """
     named = ~F.coalesce(F.col("author"), F.lit("")).isin(*vocab.ANONYMOUS_AUTHORS)
-    marked = claims.withColumns(
-        {
-            "_rank": F.struct((-scoring.confidence_weight(F.col("confidence"), s)).alias("c"), (-F.col("created_utc")).alias("t"), F.col("source_key").alias("k"), F.col("claim").alias("x"), F.col("claim_row").alias("r")),
-            "_doc": F.xxhash64("source_key", "store"),
-            "_cell": F.when(named, F.xxhash64(F.lit(7), "author", "store", "category")),
-        }
-    )
-    open_rows = materialise(marked.select("claim_row", "_rank", "_doc", "_cell"), "caps")
-    kept = None
-    quotas = (("_doc", s.per_document), ("_cell", s.per_author_cell))
-    heavy = {group: heavy_keys(open_rows, group) for group, _ in quotas}
-    for _ in range(MAX_ROUNDS):
+    quotas = {"_doc": s.per_document, "_cell": s.per_author_cell}
+    # the whole claims are written once, and read again by column
+    whole = materialise(claims.withColumns({"_doc": F.xxhash64("source_key", "store"), "_cell": F.when(named, F.xxhash64(F.lit(7), "author", "store", "category"))}), "claims")
+    open_rows = whole.select(
+        "claim_row", (-scoring.confidence_weight(F.col("confidence"), s)).alias("_c"), (-F.col("created_utc")).alias("_t"), F.col("source_key").alias("_k"), F.col("claim").alias("_x"), "_doc", "_cell",
+        F.lit(s.per_document).alias("_doc_left"), F.lit(s.per_author_cell).alias("_cell_left"),
+    )
+    order = ["_c", "_t", "_k", "_x", "claim_row"]
+    left = {g: f"{g}_left" for g in quotas}
+    names = open_rows.columns
+    kept: list[DataFrame] = []
+    while True:
+        # bound: the open claims of groups with more of them than quota left; null where a group binds nobody
         state = open_rows
-        for group, quota in quotas:
-            if kept is not None:
-                used = kept.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias(f"{group}_used"))
-                state = left_lookup(state, used, group, heavy[group])
-            else:
-                state = state.withColumn(f"{group}_used", F.lit(None).cast("bigint"))
-        # a full quota was filled by claims that come before every open claim of its group
-        state = state.where(
-            (F.coalesce("_doc_used", F.lit(0)) < s.per_document) & (F.col("_cell").isNull() | (F.coalesce("_cell_used", F.lit(0)) < s.per_author_cell))
-        )
+        for g in quotas:
+            bound = open_rows.where(F.col(g).isNotNull()).groupBy(g).agg(F.count(F.lit(1)).alias(f"{g}_n"), F.first(left[g]).alias("_l")).where(F.col(f"{g}_n") > F.col("_l")).drop("_l")
+            state = left_counts(state, bound, g, f"{g}_n")
         state = materialise(state, "caps")
+        free = state.where(" and ".join(f"{g}_n is null" for g in quotas)).select("claim_row")
+        kept.append(free)
+        tied = state.where(" or ".join(f"{g}_n is not null" for g in quotas))
+        n = tied.count()
+        if n <= few:
+            kept.append(_in_order(tied, order, list(quotas)))
+            break
         heads = None
-        for group, quota in quotas:
-            order = Window.partitionBy(group).orderBy("_rank")
-            head = (
-                state.where(F.col(group).isNotNull()).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= quota)
-                .where(F.col("_n") <= quota - F.coalesce(F.col(f"{group}_used"), F.lit(0))).select("claim_row")
-            )
-            if group == "_cell":
-                head = head.unionByName(state.where(F.col("_cell").isNull()).select("claim_row"))
+        for g, quota in quotas.items():
+            best = Window.partitionBy(g).orderBy(*order)
+            head = tied.where(F.col(f"{g}_n").isNotNull()).withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= quota).where(F.col("_n") <= F.col(left[g]))
+            head = head.select("claim_row").unionByName(tied.where(F.col(f"{g}_n").isNull()).select("claim_row"))
             heads = head if heads is None else heads.join(head, "claim_row", "left_semi")
-        stays = materialise(state.join(heads, "claim_row", "left_semi").select("claim_row", "_doc", "_cell"), "caps")
-        if stays.isEmpty():
-            break
-        kept = stays if kept is None else kept.unionByName(stays)
-        open_rows = state.join(stays.select("claim_row"), "claim_row", "left_anti").select("claim_row", "_rank", "_doc", "_cell")
-    else:
-        raise RuntimeError("independence_caps did not settle")
-    if kept is None:
-        return claims.limit(0)
-    return claims.join(kept.select("claim_row"), "claim_row", "left_semi")
+        stays = materialise(tied.join(heads, "claim_row", "left_semi").select("claim_row", *quotas), "stays")
+        kept.append(stays.select("claim_row"))
+        rest = tied.join(stays.select("claim_row"), "claim_row", "left_anti").select(names)
+        for g in quotas:
+            bound = tied.where(F.col(f"{g}_n").isNotNull()).groupBy(g).agg(F.max(f"{g}_n").alias("_w"))
+            used = stays.where(F.col(g).isNotNull()).groupBy(g).agg(F.count(F.lit(1)).alias("_used")).join(bound, g)
+            rest = left_counts(rest, used, g, "_w").withColumn(left[g], (F.col(left[g]) - F.coalesce("_used", F.lit(0))).cast("int")).drop("_used", "_w")
+        # a used-up quota was filled by claims that come before every open claim of its group
+        open_rows = materialise(rest.where(" and ".join(f"{left[g]} > 0" for g in quotas)), "caps")
+    rows = kept[0]
+    for part in kept[1:]:
+        rows = rows.unionByName(part)
+    return whole.drop("_doc", "_cell").join(rows, "claim_row", "left_semi")
+
+
+def _in_order(tied: DataFrame, order: list[str], groups: list[str]) -> DataFrame:
+    """claim_row of the claims that stay, gone through in order by one task; for few rows only."""
+    quota = [f"{g}_left" for g in groups]
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        used: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            stay = []
+            columns = [batch[c].tolist() for c in ("claim_row", *groups, *quota)]
+            for row, *rest in zip(*columns, strict=True):
+                keys = [(i, k) for i, k in enumerate(rest[: len(groups)]) if k is not None]
+                if all(used.get(k, 0) < rest[len(groups) + k[0]] for k in keys):
+                    stay.append(row)
+                    for k in keys:
+                        used[k] = used.get(k, 0) + 1
+            yield pd.DataFrame({"claim_row": stay}, dtype="int64")
+
+    # as text, for a column of numbers with nulls would come as floating point
+    rows = tied.select(*order, *[F.col(g).cast("string").alias(g) for g in groups], *quota)
+    one = rows.repartition(1).sortWithinPartitions(*order).select("claim_row", *groups, *quota)
+    return materialise(one.mapInPandas(decide, "claim_row bigint"), "caps")
 
 
 def prepare(claims: DataFrame, s: Settings = Settings()) -> DataFrame:

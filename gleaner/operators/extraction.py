@@ -46,7 +46,7 @@ class WordProvider:
     def __call__(self, text: str, parent: str, stores: list[str]) -> tuple[list[dict], dict[str, int]]:
         words = re.findall(r"[a-z]+", text.lower())
         score = sum(w in self.good for w in words) - sum(w in self.bad for w in words)
-        category = next((c for c, ws in vocab.LIST_WORDS.items() if set(ws.split("|")) & set(words)), "quality_overall")
+        category = next((c for c, ws in vocab.LIST_WORDS.items() if set(ws) & set(words)), "quality_overall")
         claims = [
             {"store": s, "location": "", "category": category, "item": "", "claim": text[:120], "sentiment": "positive" if score > 0 else "negative" if score < 0 else "neutral",
              "price_signal": "cheap" if "cheap" in words else "expensive" if {"expensive", "overpriced"} & set(words) else "none", "confidence": "high" if abs(score) > 1 else "medium" if score else "low",

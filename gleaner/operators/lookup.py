@@ -31,6 +31,15 @@ def lookup_join(rows: DataFrame, table: DataFrame, keys: Sequence[str], weight:
     return hot.unionByName(cold)
 
 
+def left_counts(rows: DataFrame, table: DataFrame, key: str, weight: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Left join with a narrow table unique on key, whose `weight` is the number of rows the key has. The table is counted
+    first; up to broadcast_rows it is broadcast, beyond see left_lookup."""
+    table = materialise(table, "lookup")
+    if table.count() <= broadcast_rows:
+        return rows.join(F.broadcast(table), key, "left")
+    return left_lookup(rows, table, key, materialise(table.orderBy(F.desc(weight), key).limit(HEAVY_KEYS).select(key), "heavy"))
+
+
 def heavy_keys(rows: DataFrame, key: str, most: int = HEAVY_KEYS) -> DataFrame:
     """The keys with most rows, at most so many; null is none."""
     counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))

@@ -9,8 +9,10 @@ from gleaner import vocab
 
 
 def store_hits(text: Column) -> Column:
-    """The stores whose pattern the (lower case) text meets, in their declared order."""
-    return F.array_compact(F.array(*[F.when(text.rlike(f"(?U){p}"), F.lit(name)) for name, p in vocab.STORE_PATTERNS.items()]))
+    """The stores whose pattern the (lower case) text meets, in their declared order. A pattern is tried only where its
+    literal stands."""
+    hit = {name: text.contains(vocab.STORE_LITERALS[name]) & text.rlike(f"(?U){p}") for name, p in vocab.STORE_PATTERNS.items()}
+    return F.array_compact(F.array(*[F.when(met, F.lit(name)) for name, met in hit.items()]))
 
 
 def match_store(name: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,13 +11,16 @@ from gleaner import vocab
 from gleaner.config import Settings
 from gleaner.functions import scoring
 from gleaner.functions.text import fold_key
+from gleaner.runtime import materialise
 
 MAX_TERMS = 40
+#: Terms that are broadcast at once.
+BASKET_TERMS = 10_000
 
 
 def keyword_table(spark) -> DataFrame:
     """word, category"""
-    rows = [(w, c) for c, words in vocab.LIST_WORDS.items() for w in words.split("|")]
+    rows = [(w, c) for c, words in vocab.LIST_WORDS.items() for w in words]
     return spark.createDataFrame(rows, "word string, category string")
 
 
@@ -30,9 +35,14 @@ def resolve(basket: DataFrame, items: DataFrame, cells: DataFrame, keywords: Dat
 
     An item whose name equals, contains or is contained in the term answers first (in this order, then the heavier, then
     by name); a term without any item is answered by its category's cells; others are unmatched and absent. The basket
-    has at most 40 terms and is broadcast; items are read once.
+    may have any length: up to BASKET_TERMS terms it is broadcast, a longer one in blocks of so many.
     """
-    basket = basket.limit(MAX_TERMS)
+    n = basket.count()
+    if n > BASKET_TERMS:
+        blocks = -(-n // BASKET_TERMS)
+        block = materialise(basket.withColumn("_b", F.pmod(F.xxhash64("term"), F.lit(blocks))), "basket")
+        parts = [resolve(block.where(F.col("_b") == i).drop("_b"), items, cells, keywords) for i in range(blocks)]
+        return reduce(DataFrame.unionByName, parts)
     hit = F.contains(F.col("name"), F.col("term")) | F.contains(F.col("term"), F.col("name"))
     rank = F.when(F.col("name") == F.col("term"), 2).when(F.contains(F.col("name"), F.col("term")), 1).otherwise(0)
     best = Window.partitionBy("term", "store").orderBy(F.desc("rank"), F.desc("w"), "name")

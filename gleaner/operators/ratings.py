@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,7 +13,8 @@ from gleaner.config import Settings
 from gleaner.functions import scoring
 from gleaner.runtime import materialise
 
-MAX_ROUNDS = 200
+#: Open edges from which the matching ends by going through them in one task; some 20 MB.
+FEW_EDGES = 200_000
 
 
 def usable_reviews(reviews: DataFrame) -> DataFrame:
@@ -95,26 +97,38 @@ def nearby(listings: DataFrame, places: DataFrame, s: Settings = Settings()) ->
     return left.join(right, ["store", "gy", "gx"]).select("store", "gmap_id", "osm", away.alias("metres")).where(F.col("metres") <= s.match_metres)
 
 
-def match_one_to_one(edges: DataFrame) -> DataFrame:
+def match_one_to_one(edges: DataFrame, few: int = FEW_EDGES) -> DataFrame:
     """Greedy matching by distance: in order of (metres, gmap_id, osm) an edge is taken if both its ends are free.
 
-    Decided in rounds: an edge that is the first at both its ends is taken, and all edges at its ends go. The order is
-    total, so this gives what going through the sorted list would.
+    While more than `few` edges are open they are decided in rounds: an edge that is the first at both its ends is taken,
+    and all edges at its ends go; each round takes at least one. The rest is gone through in order by one task. The order
+    is total, so this gives what going through the sorted list would.
     """
-    order = F.struct(F.col("metres"), F.col("gmap_id"), F.col("osm"))
-    left = materialise(edges.select("gmap_id", "osm", "metres", "store").withColumn("o", order), "edges")
+    first = F.struct(F.col("metres"), F.col("gmap_id"), F.col("osm"))
+    left = materialise(edges.select("store", "gmap_id", "osm", "metres"), "edges")
     taken = None
-    for _ in range(MAX_ROUNDS):
-        if left.isEmpty():
-            break
-        a = left.groupBy("gmap_id").agg(F.min("o").alias("a"))
-        b = left.groupBy("osm").agg(F.min("o").alias("b"))
-        won = materialise(left.join(a, "gmap_id").join(b, "osm").where((F.col("o") == F.col("a")) & (F.col("o") == F.col("b"))).select(left.columns), "edges")
+    while left.count() > few:
+        marked = left.withColumn("o", first)
+        a = marked.groupBy("gmap_id").agg(F.min("o").alias("a"))
+        b = marked.groupBy("osm").agg(F.min("o").alias("b"))
+        won = materialise(marked.join(a, "gmap_id").join(b, "osm").where((F.col("o") == F.col("a")) & (F.col("o") == F.col("b"))).select(left.columns), "edges")
         taken = won if taken is None else taken.unionByName(won)
         left = materialise(left.join(won.select("gmap_id"), "gmap_id", "left_anti").join(won.select("osm"), "osm", "left_anti").select(left.columns), "edges")
-    else:
-        raise RuntimeError("match_one_to_one did not settle")
-    return (taken if taken is not None else left).select("store", "gmap_id", "osm", "metres")
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, there = set(), set()
+        for batch in batches:
+            free = []
+            for g, o in zip(batch["gmap_id"], batch["osm"], strict=True):
+                free.append(g not in here and o not in there)
+                if free[-1]:
+                    here.add(g)
+                    there.add(o)
+            yield batch[free]
+
+    rest = left.repartition(1).sortWithinPartitions("metres", "gmap_id", "osm").mapInPandas(decide, left.schema)
+    rest = materialise(rest, "edges")
+    return rest if taken is None else taken.unionByName(rest)
 
 
 def pooled(ratings: DataFrame, keys: Sequence[str]) -> DataFrame:

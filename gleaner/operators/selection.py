@@ -24,7 +24,7 @@ def unicode_aware(pattern: str) -> str:
 def may_mention(low: Column) -> Column:
     """Cheap substrings before the patterns; never false where a pattern matches."""
     out = F.lit(False)
-    for literal in vocab.STORE_LITERALS:
+    for literal in vocab.STORE_LITERALS.values():
         out = out | low.contains(literal)
     return out
 

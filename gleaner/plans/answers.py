@@ -151,7 +151,7 @@ _CH = f"ch AS {_slim('store, category', base.CHAIN_CELLS)}"
 _BC = f"bc AS {_slim('store, branch, category', base.BRANCH_CELLS)}"
 _IT = "it AS " + _slim("store, item_key", f"(SELECT store, item_key, {base.CELL} FROM weighed WHERE item_key <> '' GROUP BY ALL)").replace("(SELECT store, item_key, n_claims", "(SELECT store, item_key AS name, n_claims", 1)
 _TO = f"tt AS {_slim('store', base.TOTALS)}"
-_KEYWORDS = "SELECT * FROM (VALUES " + ", ".join(f"({_q(w)}, '{c}')" for c, words in vocab.LIST_WORDS.items() for w in words.split("|")) + ") AS k(word, category)"
+_KEYWORDS = "SELECT * FROM (VALUES " + ", ".join(f"({_q(w)}, '{c}')" for c, words in vocab.LIST_WORDS.items() for w in words) + ") AS k(word, category)"
 _BASKET = "basket AS (SELECT * FROM (VALUES " + ", ".join(f"({_q(t)}, {q})" for t, q in BASKET) + ") AS b(term, qty))"
 _RESOLVED = f"""{_BASKET}, by_item AS (SELECT term, qty, 'item' AS kind, store, name AS label, w, s, pl FROM (SELECT *, row_number() OVER (PARTITION BY term, store ORDER BY
         CASE WHEN name = term THEN 2 WHEN contains(name, term) THEN 1 ELSE 0 END DESC, w DESC, name) AS rn FROM it JOIN basket ON contains(name, term) OR contains(term, name)) WHERE rn = 1),

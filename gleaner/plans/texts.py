@@ -14,7 +14,7 @@ from gleaner.operators import selection as sel
 from gleaner.runtime import load
 
 S = Settings()
-TERMS = [w for words in vocab.LIST_WORDS.values() for w in words.split("|")]
+TERMS = [w for words in vocab.LIST_WORDS.values() for w in words]
 
 
 def _docs(spark, sf_dir) -> DataFrame:
@@ -197,7 +197,7 @@ _FIRST = "SELECT delivery_id FROM (SELECT delivery_id, row_number() OVER (PARTIT
 _LINES = "lines AS (SELECT doc_id, pos, trim(line) AS line FROM (SELECT doc_id, unnest(range(len(l))) AS pos, unnest(l) AS line FROM (SELECT doc_id, regexp_split_to_array(text, '\\r?\\n') AS l FROM documents WHERE text IS NOT NULL)) WHERE length(trim(line)) >= 3)"
 _NOISE = "(" + " OR ".join(f"regexp_matches(lower(line), {_q(p)})" for p in vocab.RECEIPT_NOISE) + ")"
 _PRICE = f"try_cast(replace(regexp_replace(regexp_extract(line, {_q(vocab.RECEIPT_PRICE)}, 1), '[$\\s]', '', 'g'), ',', '.') AS DOUBLE)"
-_WORDMAP = "MAP {" + ", ".join(f"'{a}': '{b.replace('_', ' ')}'" for a, b in (x.split("=") for x in vocab.RECEIPT_WORDS.split())) + "}"
+_WORDMAP = "MAP {" + ", ".join(f"'{a}': '{b}'" for a, b in vocab.RECEIPT_WORDS.items()) + "}"
 _STRIPPED = f"regexp_replace(line, {_q(vocab.RECEIPT_PRICE)}, '', 'g')"
 for _p in (vocab.RECEIPT_WEIGHED, vocab.RECEIPT_SIZES, vocab.RECEIPT_CODES):
     _STRIPPED = f"regexp_replace({_STRIPPED}, {_q(_p)}, ' ', 'g')"
@@ -215,7 +215,7 @@ ORACLES = {
     "flt_bot": f"SELECT delivery_id FROM candidates WHERE coalesce(author, '') NOT IN {_BOTS}",
     "flt_evaluative": f"SELECT delivery_id, {_JUDGES} AS judges FROM candidates WHERE text IS NOT NULL",
     "flt_context": f"SELECT delivery_id, {_has(vocab.CONTEXT, 'lower(text)')} AS in_context FROM candidates WHERE text IS NOT NULL",
-    "flt_may_mention": "SELECT count(*) AS n_without, cast(0 AS BIGINT) AS n_missed FROM candidates WHERE text IS NOT NULL AND NOT (" + " OR ".join(f"contains(lower(text), '{x}')" for x in vocab.STORE_LITERALS) + ")",
+    "flt_may_mention": "SELECT count(*) AS n_without, cast(0 AS BIGINT) AS n_missed FROM candidates WHERE text IS NOT NULL AND NOT (" + " OR ".join(f"contains(lower(text), '{x}')" for x in vocab.STORE_LITERALS.values()) + ")",
     "str_matched_stores": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, array_to_string(own, '|') AS stores FROM own",
     "win_first_mention": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, cast(coalesce({_AT}, 0) AS BIGINT) AS at FROM own",
     "str_excerpt": f"""WITH d AS (SELECT doc_id, text, lower(text) AS low, substr(text, 1, 6000) AS head, lower(substr(text, 1, 6000)) AS hlow FROM documents WHERE text IS NOT NULL),

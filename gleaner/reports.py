@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MOST_LINES = 200
-
 
 def signed(c):
     return F.concat(F.when(c > 0, "+").otherwise(""), F.format_number(c, 2))
@@ -33,12 +31,12 @@ def age(seconds):
 def totals_lines(totals: DataFrame) -> list[str]:
     """The stores with most evidence first."""
     line = F.format_string("%-24s %7d claims %10.2f %+.3f", "store", "n_claims", "weighted_evidence", "sentiment")
-    return [r[0] for r in totals.orderBy(F.desc("weighted_evidence"), "store").limit(MOST_LINES).select(line).collect()]
+    return [r[0] for r in totals.orderBy(F.desc("weighted_evidence"), "store").select(line).collect()]
 
 
 def store_lines(cells: DataFrame, store: str) -> list[str]:
     line = F.format_string("%-20s %6d %9.2f %+.3f %s", title(F.col("category")), "n_claims", "weighted_evidence", "sentiment", F.coalesce("price_signal", F.lit("-")))
-    rows = cells.where(F.col("store") == store).orderBy(F.desc("weighted_evidence"), "category").limit(MOST_LINES)
+    rows = cells.where(F.col("store") == store).orderBy(F.desc("weighted_evidence"), "category")
     return [store, *[r[0] for r in rows.select(line).collect()]]
 
 
