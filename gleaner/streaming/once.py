@@ -1,22 +1,26 @@
 """Messages delivered more than once: exactly one copy of each.
 
-A streaming query keeps, per message, the lowest delivery seen so far in a keyed state store. State of messages whose
-event time has fallen behind the watermark expires; deliveries of such messages go through a lookup in the log of
-accepted messages instead. State, source offsets and log are committed by micro-batch: a replayed micro-batch writes the
-same folder of the log again, so output and state stay in step.
+A streaming query keeps, per message, the lowest delivery seen so far in a keyed state store; a delivery is accepted when
+it is that lowest one, and is a redelivery otherwise. State of messages whose event time has fallen behind the watermark
+expires. Deliveries of such messages are late: these, and only these, are looked up in the log of accepted messages,
+of which only the years of the late rows are read. Log, state and source offsets are committed by micro-batch: a replayed
+micro-batch starts from the state before it and writes its own folder of the log again, so output and state stay in step.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import epoch_seconds, message_key
 from gleaner.runtime import scratch_path
 
-LOG_SCHEMA = "scope string, message string, kept bigint, event_year int"
+#: shelf: the year of the event time of an accepted message; AGAIN holds the redeliveries.
+LOG_SCHEMA = "scope string, message string, delivery bigint, batch int, shelf int"
+AGAIN = -1_000_000
 
 
 @dataclass(frozen=True)
@@ -31,8 +35,18 @@ class OnceSettings:
     slices: int = 0
 
 
-#: A table read as it arrived, in several micro-batches.
-ARRIVALS = OnceSettings(files_per_batch=1, slices=8)
+#: A table read as it arrived, in several micro-batches. It holds the archive of many years in no order of event time, so
+#: the delay is long: some nine in ten messages are decided by the state, the oldest by the lookup.
+ARRIVALS = OnceSettings(delay="3000 days", files_per_batch=1, slices=8)
+
+
+@dataclass
+class Progress:
+    """What the micro-batches did: number, late rows, shelves of the log that were read."""
+
+    batches: list[tuple[int, int, list[int]]] = field(default_factory=list)
+    #: Called after a micro-batch's folder of the log is complete and before it is committed (tests stop it there).
+    logged: Callable[[int], None] = lambda number: None
 
 
 def _narrow(df: DataFrame, scope: Column, identifier: Column, event: Column, order: Column) -> DataFrame:
@@ -59,41 +73,55 @@ def accept_once(
     event: str = "created_utc",
     order: str = "delivery_id",
     settings: OnceSettings = OnceSettings(),
+    progress: Progress | None = None,
 ):
     """Start the query over a stream of deliveries; it ends when all that is there has been read.
 
-    The log receives one row per accepted message, and a further one where a lower delivery comes later. Deliveries
-    without identifier are not messages and are not logged. A null event time counts as the epoch. Extra columns are
-    not read.
+    The log receives every delivery with a message identifier: on the shelf of its year where it is the lowest of its
+    message so far, as a redelivery otherwise. Deliveries without identifier are not messages and are not logged. A null
+    event time counts as the epoch. Extra columns are not read.
     """
     spark = stream.sparkSession
+    done = progress or Progress()
     source = _narrow(stream, F.col(scope), F.col(identifier), F.col(event), F.col(order)).withWatermark("event_at", settings.delay)
-    seen = (
-        source.groupBy("scope", "message", F.window("event_at", settings.window).alias("span"))
+    span = F.window("event_at", settings.window)
+    lowest = (
+        source.groupBy("scope", "message", span.alias("span"))
         .agg(F.min("delivery").alias("delivery"))
-        .select("scope", "message", F.col("span.start").alias("event_at"), "delivery", F.lit(False).alias("raw"))
+        .select("scope", "message", F.col("span.start").alias("event_at"), F.col("span.end").alias("until"), "delivery", F.lit(True).alias("decided"))
     )
-    lanes = seen.unionByName(source.withColumn("raw", F.lit(True)))
+    # both what the state says and the deliveries themselves
+    lanes = lowest.unionByName(source.select("scope", "message", "event_at", span["end"].alias("until"), "delivery", F.lit(False).alias("decided")))
     delay = _seconds(settings.delay)
     clock: dict[int, int | None] = {}
 
     def write(batch: DataFrame, number: int) -> None:
-        horizon = clock.get(number - 1) or _logged_clock(spark, log_path, number)
+        horizon = clock[number - 1] if number - 1 in clock else _logged_clock(spark, log_path, number)
+        late = F.lit(False) if horizon is None else F.unix_timestamp("until") <= horizon - delay
         watch = Observation()
-        observed = batch.observe(watch, F.max(F.unix_timestamp("event_at")).alias("latest"))
-        late = F.lit(False) if horizon is None else F.unix_timestamp("event_at") < horizon - delay
-        lowest = (
-            observed.where(~F.col("raw") | late)
-            .groupBy("scope", "message")
-            .agg(F.min("delivery").alias("kept"), F.max(F.year("event_at")).alias("event_year"))
-        )
-        if number > 0:
-            known = accepted(spark, log_path, before=number).withColumnRenamed("kept", "before")
-            lowest = lowest.join(known, ["scope", "message"], "left").where(F.col("before").isNull() | (F.col("kept") < F.col("before"))).drop("before")
-        lowest.write.mode("overwrite").parquet(f"{log_path}/batch={number}")
+        marked = batch.withColumns({"late": late, "shelf": F.year("event_at")}).observe(
+            watch, F.max(F.unix_timestamp("event_at")).alias("latest"), F.count_if(F.col("late") & ~F.col("decided")).alias("late"),
+            F.collect_set(F.when(F.col("late"), F.col("shelf"))).alias("shelves"),
+        )
+        staged = marked.select("scope", "message", "delivery", "decided", "shelf", "late")
+        stage = f"{log_path}_stage/batch={number}"
+        staged.write.mode("overwrite").parquet(stage)
+        rows = spark.read.schema(staged.schema).parquet(stage)
+        seen = watch.get
+        shelves = sorted(seen.get("shelves") or [])
+        decided = rows.where("decided and not late").select("delivery")
+        if seen.get("late"):
+            decided = decided.unionByName(_looked_up(spark, rows.where("late and not decided"), log_path, number, shelves))
+        # a delivery stays if it is one of the decided ones; both sides are unique, so no key is hot
+        out = rows.where("not decided").join(decided.distinct().withColumn("stays", F.lit(True)), "delivery", "left")
+        shelved = out.select("scope", "message", "delivery", F.when(F.col("stays"), F.col("shelf")).otherwise(AGAIN).alias("shelf"))
+        shelved.write.partitionBy("shelf").mode("overwrite").parquet(f"{log_path}/batch={number}")
         # the latest event time of this and all earlier micro-batches
-        clock[number] = max((t for t in (watch.get.get("latest"), horizon) if t is not None), default=None)
+        clock[number] = max((t for t in (seen.get("latest"), horizon) if t is not None), default=None)
         spark.createDataFrame([(clock[number],)], "latest bigint").coalesce(1).write.mode("overwrite").parquet(f"{log_path}_clock/batch={number}")
+        _delete(spark, stage)
+        done.batches.append((number, seen.get("late") or 0, shelves))
+        done.logged(number)
 
     return (
         lanes.writeStream.outputMode("update")
@@ -104,6 +132,18 @@ def accept_once(
     )
 
 
+def _looked_up(spark: SparkSession, late: DataFrame, log_path: str, number: int, shelves: list[int]) -> DataFrame:
+    """delivery of the late messages that the log does not know, or knows only with a higher delivery. A copy of a message
+    has its event time, so only the shelves of the late rows are read."""
+    lowest = late.groupBy("scope", "message").agg(F.min("delivery").alias("delivery"))
+    if number == 0 or not _exists(spark, log_path):
+        return lowest.select("delivery")
+    known = _log(spark, log_path).where((F.col("batch") < number) & F.col("shelf").isin(shelves))
+    known = known.groupBy("scope", "message").agg(F.min("delivery").alias("before"))
+    met = lowest.alias("l").join(known.alias("k"), F.col("l.scope").eqNullSafe(F.col("k.scope")) & (F.col("l.message") == F.col("k.message")), "left")
+    return met.where("before is null or delivery < before").select("delivery")
+
+
 def _logged_clock(spark: SparkSession, log_path: str, number: int) -> int | None:
     """After a restart: the latest event time up to the micro-batch before this one."""
     if number == 0:
@@ -111,16 +151,31 @@ def _logged_clock(spark: SparkSession, log_path: str, number: int) -> int | None
     return spark.read.schema("latest bigint").parquet(f"{log_path}_clock/batch={number - 1}").first()[0]
 
 
-def accepted(spark: SparkSession, log_path: str, before: int | None = None) -> DataFrame:
-    """The accepted messages of the log: the lowest delivery of each."""
-    log = spark.read.schema(LOG_SCHEMA + ", batch int").parquet(log_path)
-    if before is not None:
-        log = log.where(F.col("batch") < before)
-    return log.groupBy("scope", "message").agg(F.min("kept").alias("kept"))
+def _log(spark: SparkSession, log_path: str) -> DataFrame:
+    return spark.read.schema(LOG_SCHEMA).option("basePath", log_path).parquet(log_path)
 
 
-def deliver_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings(), **columns: str) -> DataFrame:
-    """Run the query over the parquet table at path; returns scope, message, kept (the delivery that stays)."""
+def _ranked(spark: SparkSession, log_path: str) -> DataFrame:
+    """The accepted rows of the log, with their place among those of their message: a message has one, and a further one
+    only where a lower delivery came later or its copies have different event times."""
+    rows = _log(spark, log_path).where(F.col("shelf") != AGAIN)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("scope", "message").orderBy("delivery")))
+
+
+def accepted(spark: SparkSession, log_path: str) -> DataFrame:
+    """scope, message, kept: the accepted messages of the log with the lowest delivery of each."""
+    return _ranked(spark, log_path).where("place = 1").select("scope", "message", F.col("delivery").alias("kept"))
+
+
+def redelivered(spark: SparkSession, log_path: str) -> DataFrame:
+    """delivery of every redelivery: those found as such, and those accepted before a lower one came."""
+    again = _log(spark, log_path).where(F.col("shelf") == AGAIN).select("delivery")
+    return again.unionByName(_ranked(spark, log_path).where("place > 1").select("delivery"))
+
+
+def run_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings(), progress: Progress | None = None, base: str | None = None, **columns: str) -> str | None:
+    """Run the query over the parquet table at path to its end; returns the path of the log, None where nothing came.
+    base: the folder of log and checkpoint; with one that a query was stopped in, it goes on from there."""
     # a session of its own: the state store's provider is a session setting
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -129,18 +184,17 @@ def deliver_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSe
     own.conf.set("spark.sql.session.timeZone", "UTC")
     own.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
     schema = spark.read.parquet(path).schema
-    base = scratch_path(spark, "once")
+    base = base or scratch_path(spark, "once")
     if settings.slices:
         needed = {"scope": "kind", "identifier": "id", "event": "created_utc", "order": "delivery_id"} | columns
         table = spark.read.parquet(path).select(*dict.fromkeys(needed.values()))
-        _lay_out(table.where(F.col(needed["order"]).isNotNull()), needed["order"], settings.slices, f"{base}/arrivals")
+        if not _exists(spark, f"{base}/arrivals/_SUCCESS"):
+            _lay_out(table.where(F.col(needed["order"]).isNotNull()), needed["order"], settings.slices, f"{base}/arrivals")
         schema, path = table.schema, f"{base}/arrivals"
     stream = own.readStream.schema(schema).option("maxFilesPerTrigger", settings.files_per_batch).parquet(_stream_path(spark, path))
-    query = accept_once(stream, f"{base}/log", f"{base}/state", settings=settings, **columns)
+    query = accept_once(stream, f"{base}/log", f"{base}/state", settings=settings, progress=progress, **columns)
     query.awaitTermination()
-    if query.lastProgress is None and not _exists(spark, f"{base}/log"):
-        return spark.createDataFrame([], "scope string, message string, kept bigint")
-    return accepted(spark, f"{base}/log")
+    return f"{base}/log" if _exists(spark, f"{base}/log") else None
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -153,6 +207,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def _lay_out(table: DataFrame, order: str, slices: int, path: str) -> None:
     """Write the table as up to so many files, by ranges of order; their ages rise with it, as a stream reads by age."""
     spark = table.sparkSession
@@ -170,14 +229,22 @@ def _stream_path(spark: SparkSession, path: str) -> str:
     return path if fs.getFileStatus(p).isDirectory() else f"{path[:-1]}[{path[-1]}]"
 
 
+def deliver_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettings(), **columns: str) -> DataFrame:
+    """scope, message, kept: the delivery that stays of each message in the parquet table at path."""
+    log = run_once(spark, path, settings, **columns)
+    return accepted(spark, log) if log else spark.createDataFrame([], "scope string, message string, kept bigint")
+
+
 def redeliveries(spark: SparkSession, path: str, settings: OnceSettings = ARRIVALS) -> DataFrame:
     """delivery_id of every delivery but the lowest of its message; rows without identifier (null or blank) are none.
 
-    Rows of equal delivery_id count as one delivery. An empty table gives none; other columns are not looked at.
+    They are read from the query's own output. Rows of equal delivery_id count as one delivery. An empty table gives none;
+    other columns are not looked at.
     """
-    kept = deliver_once(spark, path, settings).select(F.col("kept").alias("delivery_id"))
-    rows = spark.read.parquet(path).where(message_key(F.col("id")).isNotNull() & F.col("delivery_id").isNotNull()).select("delivery_id")
-    return rows.join(kept, "delivery_id", "left_anti")
+    log = run_once(spark, path, settings)
+    if log is None:
+        return spark.createDataFrame([], "delivery_id bigint")
+    return redelivered(spark, log).select(F.col("delivery").alias("delivery_id"))
 
 
 def once(spark: SparkSession, path: str, settings: OnceSettings = ARRIVALS) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from gleaner.streaming import once as once_module
-from gleaner.streaming.once import OnceSettings, accepted, deliver_once, once, redeliveries
+from gleaner.streaming.once import OnceSettings, Progress, deliver_once, once, redelivered, redeliveries, run_once
 
 SCHEMA = "delivery_id bigint, kind string, id string, created_utc bigint, scope string, kept int"
 
@@ -67,7 +67,8 @@ def test_a_table_of_one_file_is_read_as_it_arrived(spark, tmp_path, monkeypatch)
     write(spark, rows, tmp_path / "t", 1)
     queries, start = [], once_module.accept_once
     monkeypatch.setattr(once_module, "accept_once", lambda *a, **k: queries.append(start(*a, **k)) or queries[-1])
-    assert sorted(x[0] for x in redeliveries(spark, str(tmp_path / "t")).collect()) == brute(rows)
+    settings = OnceSettings(delay="30 days", files_per_batch=1, slices=8)
+    assert sorted(x[0] for x in redeliveries(spark, str(tmp_path / "t"), settings).collect()) == brute(rows)
     progress = [p for p in queries[0].recentProgress if p.numInputRows]
     states = [s for p in progress for s in p.stateOperators]
     assert len(progress) > 4
@@ -89,9 +90,54 @@ def test_empty_table(spark, tmp_path):
     assert once(spark, str(tmp_path / "t")).count() == 0
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
-    log = str(tmp_path / "log")
-    batch = spark.createDataFrame([("posts", "a", 1, 2020)], "scope string, message string, kept bigint, event_year int")
-    for _ in range(2):
-        batch.write.mode("overwrite").parquet(f"{log}/batch=0")
-    assert accepted(spark, log).count() == 1
+def in_order(n, seed, late):
+    """Deliveries whose event time goes up with them; with late ones, copies of long ago among them."""
+    r, day, out = random.Random(seed), 86_400, []
+    for d in range(n):
+        of = r.randrange(d + 1) if late and r.random() < 0.1 else max(0, d - r.randrange(8))
+        out.append((d, "posts", f"m{of}", 1_500_000_000 + of * day, "x", 1))
+    return out
+
+
+class Killed(Exception):
+    pass
+
+
+def test_a_query_killed_between_log_and_commit_goes_on_to_the_same_result(spark, tmp_path):
+    rows = in_order(400, 2, late=True)
+    write(spark, rows, tmp_path / "t", 1)
+    settings = OnceSettings(delay="40 days", files_per_batch=1, slices=20)
+    kills = {0, 7, 8}
+    seen = []
+
+    def kill(number):
+        seen.append(number)
+        if number in kills:
+            kills.discard(number)
+            raise Killed
+
+    for _ in range(3):
+        with pytest.raises(Exception, match="Killed"):
+            run_once(spark, str(tmp_path / "t"), settings, Progress(logged=kill), str(tmp_path / "base"))
+    log = run_once(spark, str(tmp_path / "t"), settings, Progress(logged=kill), str(tmp_path / "base"))
+    assert max(seen) >= 19 and all(seen.count(k) == 2 for k in (0, 7, 8))
+    assert sorted(x[0] for x in redelivered(spark, log).collect()) == brute(rows)
+
+
+def test_the_state_decides_and_the_log_is_read_for_late_rows_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(once_module, "_looked_up", lambda *a: pytest.fail("the log was read"))
+    rows = in_order(400, 3, late=False)
+    write(spark, rows, tmp_path / "t", 1)
+    progress = Progress()
+    log = run_once(spark, str(tmp_path / "t"), OnceSettings(delay="40 days", files_per_batch=1, slices=20), progress)
+    assert len(progress.batches) >= 19 and all(late == 0 and not shelves for _, late, shelves in progress.batches)
+    assert sorted(x[0] for x in redelivered(spark, log).collect()) == brute(rows)
+
+
+def test_a_lookup_reads_only_the_years_of_late_rows(spark, tmp_path):
+    rows = in_order(1500, 4, late=False) + [(1500, "posts", "m3", 1_500_000_000 + 3 * 86_400, "x", 1)]
+    write(spark, rows, tmp_path / "t", 1)
+    progress = Progress()
+    log = run_once(spark, str(tmp_path / "t"), OnceSettings(delay="200 days", files_per_batch=1, slices=3), progress)
+    assert [(late, shelves) for _, late, shelves in progress.batches] == [(0, []), (0, []), (1, [2017])]
+    assert sorted(x[0] for x in redelivered(spark, log).collect()) == brute(rows)
