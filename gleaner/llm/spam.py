@@ -1,10 +1,10 @@
 """Keyword-stuffed and link-list pages.
 
-First the text's redundancy: the compression ratio of its blocks over that usual for blocks of their length and language
-(medians over all documents). A page is flagged at or below a limit. A flagged page is confirmed by a low density of
-sentence punctuation, and then by an exact look at its stretches: the greater part of its characters must lie in runs of
-short items, links or tags, or in long stretches of few recurring words. Pages of extreme redundancy may have full
-sentences; those are confirmed where most of them keep repeating one phrase.
+A page is judged by its redundancy: how far the blocks of its text compress, in parts of what is usual for texts of their
+length and language. It is measured twice: on the text, which repeated keywords and phrases make redundant, and on the
+text's shape, in which longer words and links are one symbol each and short words, digits and marks stay. The shape of
+prose keeps its small words and so varies; that of a list of links, tags or different keywords hardly does. Extreme
+redundancy of either flags a page; a low density of sentence punctuation confirms it, sentences said again not counted.
 """
 
 from __future__ import annotations
@@ -12,154 +12,76 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from math import log
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gleaner.runtime import materialise
+
 
 @dataclass(frozen=True)
 class SpamSettings:
-    """block: bytes compressed at once. limit: highest ratio, in parts of the usual one, that is flagged; it is wide, for
-    lists of different words compress no better than prose. extreme: the same for pages of sentences. density: most
-    sentence ends in 100 characters. greater_part: of the characters or words. run: short items in a row that make a
-    list. phrase_share: part of a window's words that one phrase must cover. least_chars: texts below are tiny."""
+    """block: bytes compressed at once. text_limit, shape_limit: the highest redundancy of text or shape that is extreme, as
+    compressed size in parts of the usual one. density: most sentence ends, in parts of what is usual in the language.
+    short: letters of the words that stay in the shape. least_chars: texts below are tiny. languages, words: how many
+    languages (the most frequent labels) have a profile, and of how many short words. few: documents that a language
+    needs for norms of its own; below, and where a text's words don't tell its language, those of its script hold."""
 
     block: int = 4096
-    limit: float = 1.15
-    extreme: float = 0.6
-    density: float = 0.9
-    greater_part: float = 0.5
-    run: int = 5
-    phrase_share: float = 0.35
-    phrase_times: int = 4
-    window_words: int = 80
+    text_limit: float = 0.6
+    shape_limit: float = 0.72
+    density: float = 0.55
+    short: int = 3
     least_chars: int = 60
+    languages: int = 100
+    words: int = 100
+    few: int = 50
 
 
-_LINK = re.compile(
-    r"<a\b[^>]{0,500}>.{0,300}?</a>|\[[^\]\n]{0,200}\]\([^)\s]{0,500}\)|(?:https?://|www\.)[^\s<>\"')\]]+|\b[\w-]{1,64}(?:\.[\w-]{1,64}){1,6}/[^\s<>\"')\]]*", re.I | re.S
-)
-_TAG = re.compile(r"<[^>\n]{1,200}>")
-_SPLIT = re.compile(r"[\n\t,;|•·‖、，；｜／]+|\s[-–—/*>]\s|(?:(?<=[.!?…])[\"'”’)]*\s)|(?<=[。！？])|\s{2,}|(?=#\w)|(?=\x01)|(?<=\x02)")
-_END = re.compile(r"[.!?…。！？][\"'”’)]*\s*$")
-_WORD = re.compile(r"[぀-ヿ㐀-鿿]|[^\W\d_]+(?:['’\-][^\W\d_]+)*|\d+")
-_PRICE = re.compile(r"[$€£¥]\s?\d|\d[.,]\d\d\b|\d\s?[$€£¥]")
-_AMOUNT = re.compile(
-    r"^\W*(?:\d+(?:[.,/]\d+)?|[½¼¾⅓⅔])\s*(?:x\b|lbs?\b|kg\b|g\b|oz\b|ml\b|l\b|cans?\b|cups?\b|tbsp\b|tsp\b|boxe?s?\b|bags?\b|packs?\b|bunch(?:es)?\b|jars?\b|bottles?\b|dozen\b|of\b)?\s+\w", re.I
-)
-_CLOCK = re.compile(r"\d{1,2}:\d\d")
-_SENTENCE_END = re.compile(r"[.!?…][\"')”’]*(?:\s|$)|[。！？]")
-
-
-def stretches(text: str, settings: SpamSettings = SpamSettings()) -> tuple[int, int]:
-    """(characters in list-like stretches, characters in all), spaces not counted."""
-    links: list[int] = []
-
-    def mark(m: re.Match) -> str:
-        links.append(len(re.sub(r"\s+", "", m.group())))
-        return "\x01" + "x" + "\x02"
-
-    marked = _TAG.sub("\n", _LINK.sub(mark, text))
-    total = listed = run_chars = run_items = 0
-    at = 0
-    for piece in _SPLIT.split(marked):
-        if not piece or not piece.strip():
-            continue
-        if piece[0] == "\x01":
-            n, kind = links[at] if at < len(links) else 1, True
-            at += 1
-        else:
-            n = len(piece) - piece.count(" ")
-            words = _WORD.findall(piece)
-            if not words:
-                total += n
-                continue
-            if len(words) > 12:
-                kind = False
-                part = _stuffed(words, piece, n)
-                if part is None:
-                    # a list may run into a sentence without a mark between
-                    total += n
-                    if run_items >= settings.run:
-                        listed += run_chars
-                    run_chars = run_items = 0
-                    continue
-                total += n
-                listed += part
-                continue
-            kind = len(words) <= 6 and not _END.search(piece) and not _PRICE.search(piece) and not _AMOUNT.match(piece) and not _CLOCK.search(piece)
-        total += n
-        if kind:
-            run_chars += n
-            run_items += 1
-        else:
-            if run_items >= settings.run:
-                listed += run_chars
-            run_chars = run_items = 0
-    if run_items >= settings.run:
-        listed += run_chars
-    return listed, total
-
-
-def _stuffed(words: list[str], piece: str, n: int) -> int | None:
-    """A long stretch without marks is stuffed where few different words recur; then all of it counts."""
-    if len(words) < 20:
-        return None
-    different = len({w.lower() for w in words})
-    return n if different / len(words) < 0.62 and not _PRICE.search(piece) else None
-
-
-def repeated(text: str, settings: SpamSettings = SpamSettings()) -> tuple[int, int]:
-    """(words in windows that keep repeating one phrase of two to four words, words in all). Short lines with an amount or
-    a price, as on receipts and in recipes, are left out."""
-    lines = [x for x in text.split("\n") if len(x) > 120 or not (_PRICE.search(x) or _AMOUNT.match(x))]
-    words = [w.lower() for w in _WORD.findall("\n".join(lines))]
-    hit = 0
-    size = settings.window_words
-    for i in range(0, len(words), size):
-        part = words[i : i + size]
-        if len(part) < 20 and i:
-            part = words[max(0, len(words) - 20) :]
-        best = 0.0
-        for n in (2, 3, 4):
-            if len(part) > n:
-                phrase, times = Counter(zip(*(part[k:] for k in range(n)), strict=False)).most_common(1)[0]
-                if times >= settings.phrase_times and len(set(phrase)) > 1:
-                    best = max(best, times * n / len(part))
-        if best >= settings.phrase_share:
-            hit += min(size, len(words) - i)
-    return hit, len(words)
-
-
-def is_listed(text: str, settings: SpamSettings = SpamSettings()) -> bool:
-    """Few sentence ends, and the greater part in list-like stretches."""
-    solid = len(text) - text.count(" ")
-    if solid == 0 or len(_SENTENCE_END.findall(text)) * 100 > settings.density * solid:
-        return False
-    listed, total = stretches(text, settings)
-    return total > 0 and listed > settings.greater_part * total
-
-
-def is_repeating(text: str, settings: SpamSettings = SpamSettings()) -> bool:
-    hit, words = repeated(text, settings)
-    return words >= 25 and hit > settings.greater_part * words
-
-
-def block_ratio(raw: bytes, block: int) -> float:
-    """Compressed over plain bytes, of all blocks together; each block is compressed by itself."""
-    return sum(len(zlib.compress(raw[i : i + block], 6)) for i in range(0, len(raw), block)) / len(raw)
+#: Labels that name no language.
+NO_LANGUAGE = ("und", "mul", "zxx", "mis")
+_CHARACTER = "぀-ヿ㐀-鿿가-힯"
+_SIGN = re.compile(f"[{_CHARACTER}]")
+_RUN = re.compile(f"[^\\s{_CHARACTER}]+")
+_LINK = re.compile(r"[^\W\d_][./:?=&_@\\]+[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
+_END = re.compile(r"[.!?…][\"')”’]*(?:\s|$)|[。！？]")
+WORD, LINK = "\x01", "\x02"
+
+
+def block_ratio(text: str, size: int, block: int) -> float:
+    """Compressed bytes of the text's blocks, each compressed by itself, in parts of size."""
+    raw, total = text.encode("utf-8", "replace"), 0
+    for i in range(0, len(raw), block):
+        c = zlib.compressobj(9, zlib.DEFLATED, -15)
+        total += len(c.compress(raw[i : i + block])) + len(c.flush())
+    return total / size
+
+
+def shape(text: str, signs: frozenset[str] = frozenset(), short: int = 3) -> str:
+    """The text with links and longer words as one symbol each. Of writing without spaces between words the signs given
+    (the frequent ones) stay."""
+
+    def word(m: re.Match) -> str:
+        w = m.group()
+        return w.lower() if len(w) <= short else WORD
+
+    def run(m: re.Match) -> str:
+        return LINK if _LINK.search(m.group()) else _WORD.sub(word, m.group())
+
+    out = _RUN.sub(run, text)
+    return out if out.isascii() else _SIGN.sub(lambda m: m.group() if m.group() in signs else WORD, out)
 
 
 def script_of(text: str) -> str:
-    """The language's script, as what lang says is unreliable: most of the letters of the text decide."""
     if text.isascii():
         return "latin"
-    wide = len(re.findall(r"[぀-ヿ㐀-鿿가-힯]", text))
-    other = len(re.findall(r"[Ͱ-῿]", text))
-    return "han" if wide * 4 > len(text) else "other" if other * 3 > len(text) else "latin"
+    signs, other = len(_SIGN.findall(text)), len(re.findall(r"[Ͱ-῿]", text))
+    return "signs" if signs * 4 > len(text) else "other" if other * 3 > len(text) else "latin"
 
 
 def size_class(n: int, block: int) -> int:
@@ -169,38 +91,134 @@ def size_class(n: int, block: int) -> int:
     return bits * 2 + (n >> max(0, bits - 2) & 1)
 
 
-def usual_ratios(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> dict[tuple[str, int], float]:
-    """The median ratio of each script and size class over all documents; three scripts by some 30 classes at most."""
+def short_words(text: str, short: int = 3) -> set[str]:
+    """The different short words of a text, and its signs."""
+    out = {w.lower() for w in _WORD.findall(text) if len(w) <= short and not _SIGN.match(w)}
+    return out if text.isascii() else out | set(_SIGN.findall(text))
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def sentence_ends(text: str) -> tuple[int, int]:
+    """(sentence ends, those of different sentences)."""
+    ends = len(_END.findall(text))
+    return ends, min(ends, len({s for s in (x.strip().lower() for x in _END.split(text)) if s}))
+
+
+class Languages:
+    """Tells a text's language by its short words. profiles: for each language the share of its texts with each word."""
+
+    def __init__(self, profiles: Mapping[str, Mapping[str, float]]) -> None:
+        self.weights: dict[str, dict[str, float]] = {}
+        for language, words in profiles.items():
+            for w, share in words.items():
+                self.weights.setdefault(w, {})[language] = log(share + 1e-3)
+        self.names = sorted(profiles)
+
+    def tell(self, words: set[str]) -> str | None:
+        """None where fewer than three words are known."""
+        known = [w for w in words if w in self.weights]
+        if len(known) < 3 or not self.names:
+            return None
+        missing = log(1e-3)
+        return max(self.names, key=lambda name: sum(self.weights[w].get(name, missing) for w in known))
+
+
+def profiles(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> tuple[dict[str, dict[str, float]], frozenset[str]]:
+    """Short-word profiles by language label, counted over all documents, and the most frequent signs.
+
+    Labels are often wrong, but mostly right; texts are judged by their words only. At most `languages` labels with `words`
+    words each come to the driver.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
+            found: Counter[tuple[str, str]] = Counter()
+            for label, text in zip(batch["label"], batch["text"], strict=True):
                 if text is not None and len(text) >= settings.least_chars:
-                    raw = text.encode("utf-8", "replace")
-                    rows.append((script_of(text), size_class(len(raw), settings.block), block_ratio(raw, settings.block)))
-            yield pd.DataFrame(rows, columns=["script", "size", "ratio"], dtype=object)
+                    found[label, ""] += 1
+                    found.update((label, w) for w in short_words(text, settings.short))
+            yield pd.DataFrame([(a, w, n) for (a, w), n in found.items()], columns=["label", "word", "n"], dtype=object)
 
-    ratios = documents.select("text").mapInPandas(measure, "script string, size int, ratio double")
-    medians = ratios.groupBy("script", "size").agg(F.percentile_approx("ratio", 0.5, 1000).alias("usual")).collect()
-    return {(r["script"], r["size"]): r["usual"] for r in medians}
+    label = F.regexp_extract(F.lower(F.trim(F.coalesce("lang", F.lit("")))), "^([a-z]{2,3})(?:[-_].*)?$", 1)
+    rows = documents.select(label.alias("label"), "text").mapInPandas(count, "label string, word string, n bigint")
+    counts = materialise(rows.groupBy("label", "word").agg(F.sum("n").alias("n")), "words")
+    labels = counts.where((F.col("word") == "") & (F.col("label") != "") & ~F.col("label").isin(*NO_LANGUAGE)).orderBy(F.desc("n"), "label").limit(settings.languages)
+    labels = labels.where(F.col("n") >= settings.few).select("label", F.col("n").alias("texts"))
+    best = Window.partitionBy("label").orderBy(F.desc("n"), "word")
+    top = counts.where("word <> ''").join(F.broadcast(labels), "label").withColumn("place", F.row_number().over(best)).where(F.col("place") <= settings.words)
+    out: dict[str, dict[str, float]] = {}
+    for r in top.select("label", "word", (F.col("n") / F.col("texts")).alias("share")).collect():
+        out.setdefault(r["label"], {})[r["word"]] = r["share"]
+    signs = counts.where(F.col("word").rlike(f"^[{_CHARACTER}]$")).groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(settings.words)
+    return out, frozenset(r["word"] for r in signs.collect())
 
 
-def spam_pages(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> DataFrame:
-    """doc_id of the pages flagged and confirmed. Null, empty and tiny texts are none, nor are rows without doc_id;
-    repeated texts are each. An empty table gives none."""
-    usual = usual_ratios(documents, settings)
+MEASURES = "doc_id bigint, script string, language string, size int, text_ratio double, shape_ratio double, ends double, new_ends double"
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def measured(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> DataFrame:
+    """For each document with an id and a text that isn't tiny: script, language ('' where its words don't tell), size class,
+    compression ratios of text and shape, sentence ends (all, and of different sentences) in 100 characters."""
+    shared = documents.sparkSession.sparkContext.broadcast(profiles(documents, settings))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, signs = shared.value
+        languages = Languages(known)
         for batch in batches:
-            found = []
+            rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 if text is None or len(text) < settings.least_chars:
                     continue
-                raw = text.encode("utf-8", "replace")
-                score = block_ratio(raw, settings.block) / usual.get((script_of(text), size_class(len(raw), settings.block)), 1.0)
-                if score <= settings.limit and is_listed(text, settings) or score <= settings.extreme and is_repeating(text, settings):
-                    found.append(doc_id)
-            yield pd.DataFrame({"doc_id": found}, dtype=object)
+                size = len(text.encode("utf-8", "replace"))
+                solid = max(1, len(text) - text.count(" "))
+                ends, new = sentence_ends(text)
+                language = languages.tell(short_words(text, settings.short)) or ""
+                shaped = shape(text, signs, settings.short)
+                rows.append(
+                    (doc_id, script_of(text), language, size_class(size, settings.block), block_ratio(text, size, settings.block), block_ratio(shaped, size, settings.block),
+                     100 * ends / solid, 100 * new / solid)
+                )
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in MEASURES.split(", ")], dtype=object)
+
+    rows = documents.where("doc_id is not null").select("doc_id", "text").mapInPandas(measure, MEASURES)
+    return materialise(rows, "measures")
+
+
+def _by_size(measures: DataFrame, settings: SpamSettings) -> DataFrame:
+    """size, ut, us: the median ratios of each size class, there are some 30; a class of few documents has those of the
+    nearest one that has more, or where none has, those of all."""
+    median = lambda c: F.percentile_approx(c, 0.5, 1000)
+    rows = measures.rollup("size").agg(F.count(F.lit(1)).alias("n"), median("text_ratio").alias("ut"), median("shape_ratio").alias("us")).collect()
+    by = {r["size"]: (r["ut"], r["us"]) for r in rows}
+    large = [r["size"] for r in rows if r["size"] is not None and r["n"] >= settings.few]
+    own = {size: by[min(large, key=lambda x: (abs(x - size), x)) if large else None] for size in by if size is not None}
+    return measures.sparkSession.createDataFrame([(size, *usual) for size, usual in own.items()], "size int, ut double, us double")
+
+
+def normalised(measures: DataFrame, settings: SpamSettings = SpamSettings()) -> DataFrame:
+    """doc_id, redundancy of text and shape and sentence density, each in parts of the usual: the median over all documents
+    of the size class, times that of the script, times that of the language (of what the one before leaves)."""
+    median = lambda c: F.percentile_approx(c, 0.5, 1000)
+    rows = measures.withColumns({"t": F.col("text_ratio"), "s": F.col("shape_ratio")})
+    for keys in (["size"], ["script"], ["script", "language"]):
+        if keys == ["size"]:
+            usual = _by_size(measures, settings)
+        elif keys == ["script"]:
+            usual = rows.groupBy(*keys).agg(median("t").alias("ut"), median("s").alias("us"))
+        else:
+            own = rows.where("language <> ''").groupBy(*keys).agg(median("t").alias("ut"), median("s").alias("us"), F.count(F.lit(1)).alias("n"))
+            usual = own.where(F.col("n") >= settings.few).drop("n")
+        # a row for each size class, script or language: some 30, 3 and at most 3 * languages
+        rows = rows.join(F.broadcast(usual), keys, "left").withColumns({"t": F.col("t") / F.coalesce("ut", F.lit(1.0)), "s": F.col("s") / F.coalesce("us", F.lit(1.0))}).drop("ut", "us")
+    ends = rows.groupBy("script").agg(median("ends").alias("by_script"))
+    own = rows.where("language <> ''").groupBy("script", "language").agg(median("ends").alias("by_language"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= settings.few).drop("n")
+    rows = rows.join(F.broadcast(ends), "script", "left").join(F.broadcast(own), ["script", "language"], "left")
+    usual = F.coalesce("by_language", "by_script")
+    return rows.select("doc_id", F.col("t").alias("text_part"), F.col("s").alias("shape_part"), F.coalesce(F.try_divide("new_ends", usual), F.lit(0.0)).alias("density_part"))
+
 
-    return documents.where("doc_id is not null").select("doc_id", "text").mapInPandas(judge, "doc_id bigint")
+def spam_pages(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> DataFrame:
+    """doc_id of the pages flagged and confirmed. Null, empty and tiny texts are none, nor are rows without doc_id;
+    repeated texts are each. An empty table gives none. documents: doc_id, text, lang."""
+    parts = normalised(measured(documents, settings), settings)
+    extreme = (F.col("text_part") <= settings.text_limit) | (F.col("shape_part") <= settings.shape_limit)
+    return parts.where(extreme & (F.col("density_part") <= settings.density)).select("doc_id")
