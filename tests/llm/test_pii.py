@@ -1,11 +1,18 @@
+import collections
+import sys
 import time
+from pathlib import Path
 
 import pytest
 
-from gleaner.llm.pii import Finder, fold, found_types, redact, redacted
+from gleaner.llm.pii import TYPES, Facts, Finder, corpus_facts, fold, found_types, redact, redacted
+
+sys.path.insert(0, str(Path(__file__).parent))
+from pii_sheet import cases  # noqa: E402
 
 GIVEN, FAMILY = ["Basil", "Amadou", "Maëlle", "Ginger", "Noor"], ["Rademoor", "O'Tarrigan", "Tran-Oakley", "Ørskovic"]
-F = Finder(GIVEN, FAMILY)
+ORDINARY = "basil ginger pesto snaps register fish counter mail call write street the lovely mini live cart".split()
+F = Finder(GIVEN, FAMILY, Facts(frozenset(ORDINARY), frozenset(["trader joe's"])))
 
 
 @pytest.mark.parametrize(
@@ -38,6 +45,31 @@ def test_placeholders(text, want):
     assert redact(text, F.find(text)) == want
 
 
+def test_sheet():
+    """Recall and precision on sentences of other matters; no name in them is on the list."""
+    hit, all_, found = collections.Counter(), collections.Counter(), collections.Counter()
+    for text, spans in cases():
+        got = F.find(text)
+        for a, b, kind in spans:
+            all_[kind] += 1
+            hit[kind] += any(s.kind == kind and s.start < b and a < s.end for s in got)
+        for s in got:
+            found[s.kind] += 1
+    for kind in TYPES:
+        assert hit[kind] >= 0.9 * all_[kind], kind
+        assert hit[kind] >= 0.9 * found[kind], kind
+
+
+def test_facts_of_a_corpus(spark):
+    texts = ["the bread is fresh and the soup is warm", "Ask at Corner Shop for Corner Shop soup"] * 30
+    texts += ["Noor Silvan came", "Amadou Silvan came", "Tilda Rademoor left", "Tilda Tran-Oakley left", "Basil Pesto is fresh", "Basil Pesto is warm"]
+    facts = corpus_facts(spark.createDataFrame([(t, None) for t in texts], "a string, b string"), (GIVEN, FAMILY), ["a", "b"])
+    assert {"the", "bread", "fresh", "soup"} <= facts.ordinary and "corner shop" in facts.entities
+    assert facts.given == {"tilda"} and facts.family == {"silvan"}  # pesto stands beside one name only
+    find = Finder(GIVEN, FAMILY, facts).find
+    assert [s.kind for s in find("my friend tilda silvan waved")] == ["name"] and not find("The Corner Shop")
+
+
 def test_offsets_survive_folding():
     text = "x​é SSN: 9​53-40-5911 ﬁn"
     folded, offsets = fold(text)
