@@ -83,12 +83,15 @@ def _fold_table() -> dict[int, str | None]:
     return table
 
 
+_BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+
+
 def fold(text: str) -> tuple[str, list[int] | None]:
     """The folded text, and the offset of each of its characters in the text (none: the same offsets)."""
     if text.isascii():
         return text, None
     table = _fold_table()
-    folded = text.translate(table)
+    folded = _BEYOND_ASCII.sub(lambda m: m.group().translate(table), text)
     if len(folded) == len(text):
         return folded, None
     return folded, [i for i, ch in enumerate(text) if table.get(ord(ch), ch) is not None]
@@ -132,7 +135,10 @@ _STREET_ABROAD = re.compile(
     r"|\b(?:[Cc]alle|[Aa]venida|[Rr]ua|Plaza|Via|Piazza|[Pp]aseo|[Tt]ravessa)(?: (?:de la|de los|de|del|da|do|dos|das))? [A-Z][\w'\-]+(?: [A-Z][\w'\-]+)?,? (?:n[o.]* ?)?\d{1,4}(?![\w$%])"
     r"|\b[A-Z][a-z]+(?:strasse|stra(?:ss|s)e|weg|platz|gasse|allee) \d{1,4} ?[a-z]?(?![\w$%])"
 )
+_KINDS_ABROAD = ("rue", "boulevard", "avenue", "place", "quai", "chemin", "calle", "avenida", "rua", "plaza", "via", "piazza", "paseo", "travessa", "strasse", "strase", "weg", "platz", "gasse", "allee")
+_ABROAD_ONLY = ("abroad",)
 _UNIT_AFTER = re.compile(r",? ?(?:(?:apt|unit|suite|ste|floor|fl)\b\.? ?#? ?\w{1,5}|#\d+)", re.I)
+_PLACES = PLACE_WORDS | _KIND_WORDS
 _NOT_STREETS = CLOSED_CLASS | set("minutes hours days visits times stars things items pieces good long short easy right wrong hard half single o'clock".split())
 
 
@@ -165,11 +171,14 @@ class Finder:
         self.listed_given, self.listed_family = _flat(given), _flat(family)
         self.given, self.family = self.listed_given | facts.given, self.listed_family | facts.family
         self.ordinary, self.entities = facts.ordinary, facts.entities
+        known = self.given | self.family
+        self.never = CLOSED_CLASS | ROLES | set(TITLES) | (facts.ordinary - known)
+        self.apart = self.never | (facts.entities - known)
         self.automaton = ahocorasick.Automaton()
         anchors: dict[str, set[str]] = {}
         for words, kind in (
             (AT_SIGNS, "at"), (DOTS, "dot"), (IDENTITY_CUES, "identity"), (self.given | self.family, "name"), (_KIND_WORDS, "street"), (DIGIT_WORDS, "digit"), (SCHEMES, "scheme"),
-            ([f"{i:02}" for i in range(100)], "number"),
+            ([f"{i:03}" for i in range(1000)] + [f"+{i}" for i in range(10)], "number"), (_KINDS_ABROAD, "abroad"),
         ):
             for w in words:
                 anchors.setdefault(w, set()).add(kind)
@@ -195,7 +204,7 @@ class Finder:
         hits: dict[str, list[tuple[int, int, str]]] = {}
         for end, (n, word, kinds) in self.automaton.iter(low):
             start = end - n + 1
-            if word[0].isalpha() and start and low[start - 1].isalnum() or word[-1].isalpha() and word != "licen" and end + 1 < len(low) and low[end + 1].isalnum():
+            if word[0].isalpha() and start and low[start - 1].isalnum() and kinds != _ABROAD_ONLY or word[-1].isalpha() and word != "licen" and end + 1 < len(low) and low[end + 1].isalnum():
                 continue
             for kind in kinds:
                 hits.setdefault(kind, []).append((start, end + 1, word))
@@ -287,8 +296,9 @@ class Finder:
             first = max(0, start - LEAD) + m.start()
             after = _UNIT_AFTER.match(t, end + (t[end : end + 1] == "."))
             yield Span(first, after.end() if after else end, "street_address")
-        for m in _STREET_ABROAD.finditer(t):
-            yield Span(m.start(), m.end(), "street_address")
+        if "abroad" in hits:
+            for m in _STREET_ABROAD.finditer(t):
+                yield Span(m.start(), m.end(), "street_address")
 
     def _names(self, t: str, low: str, hits: dict) -> Iterator[Span]:
         """Full names: runs of capital words, and known name words in any case with what stands beside them."""
@@ -302,19 +312,15 @@ class Finder:
                     done = found.end
                     yield found
 
-    def _is_name_word(self, low: str) -> bool:
-        return low in self.given or low in self.family
-
-    def _ordinary(self, low: str) -> bool:
-        return low in CLOSED_CLASS or low in ROLES or low in TITLES or low in self.ordinary and not self._is_name_word(low)
-
     def _stands_for_another(self, a: str, b: str) -> bool:
         return f"{a} {b}" in self.entities and not (a in self.listed_given and b in self.listed_family)
 
     def _in_capitals(self, t: str, start: int, end: int) -> Iterator[Span]:
         tokens: list[Token] = [(m.start(), m.end(), m.group(), m.group().lower()) for m in _NAME_WORD.finditer(t, start, end)]
         inside = [0 < i < len(tokens) - 1 and w[2].islower() for i, w in enumerate(tokens)]  # particles
-        apart = [not p and (self._ordinary(w[3]) or w[3] in self.entities and not self._is_name_word(w[3])) for w, p in zip(tokens, inside, strict=True)]
+        apart = [not p and w[3] in self.apart for w, p in zip(tokens, inside, strict=True)]
+        if len(apart) - sum(apart) < 2:
+            return
         for i in range(len(tokens) - 1):
             if self._stands_for_another(tokens[i][3], tokens[i + 1][3]):
                 apart[i] = apart[i + 1] = True
@@ -345,8 +351,7 @@ class Finder:
         span = Span(a[0], b[1], "name")
         if given and family:
             return span
-        places = PLACE_WORDS | _KIND_WORDS
-        if any(w[3] in places and not w[2].islower() for w in words) or following in places and not (given or family) or a[3] in PLACE_LEADS or len(a[2]) < 2:
+        if any(w[3] in _PLACES and not w[2].islower() for w in words) or following in _PLACES and not (given or family) or a[3] in PLACE_LEADS or len(a[2]) < 2:
             return None
         if family and a[3] not in self.family:
             return span
@@ -384,11 +389,11 @@ class Finder:
                 b = self._next_word(t, b[1])
             if b and b[3] in self.family and not self._stands_for_another(word, b[3]):
                 return Span(start, b[1], "name")
-            if b and b[2].islower() and t[start].islower() and len(b[2]) > 3 and word not in self.ordinary and not self._ordinary(b[3]) and self._cued(t, start):
+            if b and b[2].islower() and t[start].islower() and len(b[2]) > 3 and word not in self.ordinary and b[3] not in self.never and self._cued(t, start):
                 return Span(start, b[1], "name")
         elif word in self.family and t[start].islower():
             m = re.compile(rf"(?<![\w./@'\-])({_WORD})  ?(?:[a-z]\.?  ?)?\Z").search(t, max(0, start - 40), start)
-            if m and m.group(1).islower() and len(m.group(1)) > 2 and not self._ordinary(m.group(1)) and self._cued(t, m.start()):
+            if m and m.group(1).islower() and len(m.group(1)) > 2 and m.group(1) not in self.never and self._cued(t, m.start()):
                 return Span(m.start(), end, "name")
         return None
 
@@ -398,7 +403,7 @@ class Finder:
         if not m or m.group(1).lower() in self.given:
             return None
         a, b = m.group(1).lower(), m.group(2).lower()
-        if b in self.given or m.group(2)[0].isupper() and m.group(1)[0].isupper() and not self._ordinary(b) and b not in self.entities and self._cued(t, at):
+        if b in self.given or m.group(2)[0].isupper() and m.group(1)[0].isupper() and b not in self.never and b not in self.entities and self._cued(t, at):
             return Span(m.start(), m.end(), "name")
         return None
 
@@ -465,25 +470,28 @@ def corpus_facts(df: DataFrame, names: tuple[list[str], list[str]], fields: Sequ
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         given, family = (_flat(x) for x in shared.value)
         for batch in batches:
-            found: Counter[tuple[str, str]] = Counter()
+            texts = 0
             lower: Counter[str] = Counter()
+            runs: Counter[str] = Counter()
             for field in fields:
                 for text in batch[field]:
-                    if not text:
-                        continue
-                    t = fold(text)[0]
-                    found["texts", ""] += 1
-                    lower.update(_LOWER.findall(t))
-                    for m in _CAPITAL_WORDS.finditer(t):
-                        words = m.group().lower().replace("  ", " ").split(" ")
-                        found.update(("capital", w) for w in words)
-                        for a, b in zip(words, words[1:]):
-                            found["pair", f"{a} {b}"] += 1
-                            if b in family:
-                                found["given", f"{a} {b}"] += 1
-                            if a in given:
-                                found["family", f"{b} {a}"] += 1
+                    if text:
+                        texts += 1
+                        t = fold(text)[0]
+                        lower.update(_LOWER.findall(t))
+                        runs.update(_CAPITAL_WORDS.findall(t))
+            found: Counter[tuple[str, str]] = Counter({("texts", ""): texts})
             found.update({("lower", w): n for w, n in lower.items()})
+            for run, n in runs.items():
+                words = run.lower().replace("  ", " ").split(" ")
+                for w in words:
+                    found["capital", w] += n
+                for a, b in zip(words, words[1:]):
+                    found["pair", f"{a} {b}"] += n
+                    if b in family:
+                        found["given", f"{a} {b}"] += n
+                    if a in given:
+                        found["family", f"{b} {a}"] += n
             yield pd.DataFrame([(kind, w, n) for (kind, w), n in found.items()], columns=["kind", "word", "n"], dtype=object)
 
     counts = df.select(*fields).mapInPandas(count, "kind string, word string, n bigint").groupBy("kind", "word").agg(F.sum("n").alias("n"))
