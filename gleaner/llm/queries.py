@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.canon import map_to_list
 from gleaner.llm.caps import claims_beyond_cap
-from gleaner.llm.lookalike import member_frequency, same_look_pairs, with_consistent_form
+from gleaner.llm.lookalike import look_classes, looks_of, rewriter_of, same_look_pairs, with_consistent_form
 from gleaner.llm.mix import mix
 from gleaner.llm.pack import fill_report, pack_documents
 from gleaner.llm.pii import found_types, redacted
@@ -19,13 +19,22 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return claims_beyond_cap(load(spark, sf_dir, "claims"))
 
 
+_LOOKS = (("candidates", "delivery_id", "text"), ("places", "place_id", "name"))
+
+
+def _looks(spark: SparkSession, sf_dir: str, table: str, key: str, column: str):
+    df = load(spark, sf_dir, table)
+    return looks_of(df, key, column, rewriter_of(df, column))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = []
-    for table, key, column in (("candidates", "delivery_id", "text"), ("places", "place_id", "name")):
-        df = load(spark, sf_dir, table)
-        pairs = same_look_pairs(df, key, column, member_frequency(df, column))
-        parts.append(pairs.select(F.lit(table).alias("src"), "key_a", "key_b"))
-    return parts[0].unionByName(parts[1])
+    a, b = [same_look_pairs(_looks(spark, sf_dir, *of)).select(F.lit(of[0]).alias("src"), "key_a", "key_b") for of in _LOOKS]
+    return a.unionByName(b)
+
+
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = [look_classes(_looks(spark, sf_dir, *of)).select(F.lit(of[0]).alias("src"), "key", "look", "strings", "rows") for of in _LOOKS]
+    return a.unionByName(b)
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +57,7 @@ def p2_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = load(spark, sf_dir, "places").select("place_id", "name")
-    return with_consistent_form(places, "name", "form", member_frequency(places, "name"))
+    return with_consistent_form(places, "name", "form", rewriter_of(places, "name"))
 
 
 def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +85,7 @@ QUERIES = {
     "p2_redacted": p2_redacted,
     "p3_found": p3_found,
     "p4_found": p4_found,
+    "p4_classes": p4_classes,
     "p4_consistent": p4_consistent,
     "p6_found": p6_found,
     "p7_packed": p7_packed,
