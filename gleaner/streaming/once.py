@@ -118,7 +118,7 @@ def accept_once(
         shelved.write.partitionBy("shelf").mode("overwrite").parquet(f"{log_path}/batch={number}")
         # the latest event time of this and all earlier micro-batches
         clock[number] = max((t for t in (seen.get("latest"), horizon) if t is not None), default=None)
-        spark.createDataFrame([(clock[number],)], "latest bigint").coalesce(1).write.mode("overwrite").parquet(f"{log_path}_clock/batch={number}")
+        _write_text(spark, f"{log_path}_clock/{number}", "" if clock[number] is None else str(clock[number]))
         _delete(spark, stage)
         done.batches.append((number, seen.get("late") or 0, shelves))
         done.logged(number)
@@ -148,7 +148,8 @@ def _logged_clock(spark: SparkSession, log_path: str, number: int) -> int | None
     """After a restart: the latest event time up to the micro-batch before this one."""
     if number == 0:
         return None
-    return spark.read.schema("latest bigint").parquet(f"{log_path}_clock/batch={number - 1}").first()[0]
+    text = _read_text(spark, f"{log_path}_clock/{number - 1}")
+    return int(text) if text else None
 
 
 def _log(spark: SparkSession, log_path: str) -> DataFrame:
@@ -212,6 +213,26 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    fs, p = _file_system(spark, path)
+    _, part = _file_system(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(part, p)
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _lay_out(table: DataFrame, order: str, slices: int, path: str) -> None:
     """Write the table as up to so many files, by ranges of order; their ages rise with it, as a stream reads by age."""
     spark = table.sparkSession
