@@ -27,7 +27,7 @@ from gleaner.runtime import materialise
 class SpamSettings:
     """block: bytes compressed at once. text_limit, shape_limit: the highest redundancy of text or shape that is extreme, as
     compressed size in parts of the usual one. density: most sentence ends, in parts of what is usual in the language.
-    short: letters of the words that stay in the shape. least_chars: texts below are tiny. languages, words: how many
+    short: letters of the words that stay in the shape, up to 8. least_chars: texts below are tiny. languages, words: how many
     languages (the most frequent labels) have a profile, and of how many short words. few: documents that a language
     needs for norms of its own; below, and where a text's words don't tell its language, those of its script hold."""
 
@@ -46,9 +46,10 @@ class SpamSettings:
 NO_LANGUAGE = ("und", "mul", "zxx", "mis")
 _CHARACTER = "぀-ヿ㐀-鿿가-힯"
 _SIGN = re.compile(f"[{_CHARACTER}]")
-_RUN = re.compile(f"[^\\s{_CHARACTER}]+")
+_GAP = re.compile(f"[\\s{_CHARACTER}]|\\Z")
 _LINK = re.compile(r"[^\W\d_][./:?=&_@\\]+[^\W\d_]")
-_WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
+_SHORT = {n: re.compile(rf"(?<![^\W\d_])[^\W\d_]{{1,{n}}}(?![^\W\d_])") for n in range(1, 9)}
+_LONG = {n: re.compile(rf"[^\W\d_{_CHARACTER}]{{{n + 1},}}") for n in range(1, 9)}
 _END = re.compile(r"[.!?…][\"')”’]*(?:\s|$)|[。！？]")
 WORD, LINK = "\x01", "\x02"
 
@@ -63,17 +64,21 @@ def block_ratio(text: str, size: int, block: int) -> float:
 
 
 def shape(text: str, signs: frozenset[str] = frozenset(), short: int = 3) -> str:
-    """The text with links and longer words as one symbol each. Of writing without spaces between words the signs given
-    (the frequent ones) stay."""
-
-    def word(m: re.Match) -> str:
-        w = m.group()
-        return w.lower() if len(w) <= short else WORD
-
-    def run(m: re.Match) -> str:
-        return LINK if _LINK.search(m.group()) else _WORD.sub(word, m.group())
-
-    out = _RUN.sub(run, text)
+    """The text in lower case with links and longer words as one symbol each. Of writing without spaces between words the
+    signs given (the frequent ones) stay."""
+    parts, at = [], 0
+    for m in _LINK.finditer(text):
+        if m.start() < at:
+            continue
+        # the whole run without spaces around the mark
+        begin = m.start()
+        while begin > at and not text[begin - 1].isspace() and not _SIGN.match(text[begin - 1]):
+            begin -= 1
+        parts += [text[at:begin], LINK]
+        at = _GAP.search(text, m.end()).start()
+    if parts:
+        text = "".join([*parts, text[at:]])
+    out = _LONG[short].sub(WORD, text).lower()
     return out if out.isascii() else _SIGN.sub(lambda m: m.group() if m.group() in signs else WORD, out)
 
 
@@ -93,14 +98,16 @@ def size_class(n: int, block: int) -> int:
 
 def short_words(text: str, short: int = 3) -> set[str]:
     """The different short words of a text, and its signs."""
-    out = {w.lower() for w in _WORD.findall(text) if len(w) <= short and not _SIGN.match(w)}
-    return out if text.isascii() else out | set(_SIGN.findall(text))
+    if text.isascii():
+        return set(_SHORT[short].findall(text.lower()))
+    words = {w for w in _SHORT[short].findall(text.lower()) if not _SIGN.match(w)}
+    return words | set(_SIGN.findall(text))
 
 
 def sentence_ends(text: str) -> tuple[int, int]:
     """(sentence ends, those of different sentences)."""
-    ends = len(_END.findall(text))
-    return ends, min(ends, len({s for s in (x.strip().lower() for x in _END.split(text)) if s}))
+    parts = _END.split(text)
+    return len(parts) - 1, min(len(parts) - 1, len({s for s in (x.strip().lower() for x in parts) if s}))
 
 
 class Languages:
@@ -110,16 +117,19 @@ class Languages:
         self.weights: dict[str, dict[str, float]] = {}
         for language, words in profiles.items():
             for w, share in words.items():
-                self.weights.setdefault(w, {})[language] = log(share + 1e-3)
-        self.names = sorted(profiles)
+                # over a word that the language does not have
+                self.weights.setdefault(w, {})[language] = log(share + 1e-3) - log(1e-3)
 
     def tell(self, words: set[str]) -> str | None:
         """None where fewer than three words are known."""
-        known = [w for w in words if w in self.weights]
-        if len(known) < 3 or not self.names:
+        known = [self.weights[w] for w in words if w in self.weights]
+        if len(known) < 3:
             return None
-        missing = log(1e-3)
-        return max(self.names, key=lambda name: sum(self.weights[w].get(name, missing) for w in known))
+        score: dict[str, float] = {}
+        for weights in known:
+            for language, weight in weights.items():
+                score[language] = score.get(language, 0.0) + weight
+        return max(sorted(score), key=score.__getitem__)
 
 
 def profiles(documents: DataFrame, settings: SpamSettings = SpamSettings()) -> tuple[dict[str, dict[str, float]], frozenset[str]]:
