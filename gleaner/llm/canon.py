@@ -293,16 +293,17 @@ def match_by_broadcast(todo: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def match_by_join(todo: DataFrame, entries: DataFrame) -> DataFrame:
-    """The same for a dictionary of any size: deletions of names and of values are joined, and each value is decided
-    with the few entries it met."""
+    """The same for a dictionary of any size: deletions of names and of values are joined, each pair that meets is weighed
+    where it is, and of all entries near a form only the best is kept, and the best in each town that the value names. So
+    a value is decided with a few entries, however many share a deletion or a name."""
 
     def name_deletions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for r in batch.itertuples(index=False):
                 for where, key in entry_keys(Entry(r.ref_id, r.kind, r.name, r.city, r.written)):
-                    out += [(where, d, r.ref_id, r.kind, r.name, r.city, r.written, r.uses) for d in deletions(key, edits_allowed(len(key)))]
-            yield pd.DataFrame(out, columns=["where_", "deletion", "ref_id", "kind", "name", "city", "written", "uses"], dtype=object)
+                    out += [(where, d, key, r.ref_id, r.kind, r.name, r.city, r.written, r.uses) for d in deletions(key, edits_allowed(len(key)))]
+            yield pd.DataFrame(out, columns=["where_", "deletion", "key", "ref_id", "kind", "name", "city", "written", "uses"], dtype=object)
 
     longest = (entries.agg(F.max(F.length("written"))).first()[0] or 0) + MAX_EDITS
 
@@ -310,13 +311,30 @@ def match_by_join(todo: DataFrame, entries: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for k, v in zip(batch["kinds"], batch["value"], strict=True):
-                out += [(k, v, where, d) for where, form in lookups_of(v, k) if len(form) <= longest for d in deletions(form, edits_allowed(len(form)))]
-            yield pd.DataFrame(out, columns=["kinds", "value", "where_", "deletion"], dtype=object)
+                out += [(k, v, where, form, d) for where, form in lookups_of(v, k) if len(form) <= longest for d in deletions(form, edits_allowed(len(form)))]
+            yield pd.DataFrame(out, columns=["kinds", "value", "where_", "form", "deletion"], dtype=object)
 
-    names = entries.mapInPandas(name_deletions, "where_ string, deletion string, ref_id bigint, kind string, name string, city string, written string, uses bigint")
-    tried = todo.select("kinds", "value").mapInPandas(value_deletions, "kinds string, value string, where_ string, deletion string")
-    entry = F.struct("ref_id", "kind", "name", "city", "written", "uses")
-    met = tried.join(names, ["where_", "deletion"]).groupBy("kinds", "value").agg(F.collect_set(entry).alias("met"))
+    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            edits, weights = [], []
+            for form, key in zip(batch["form"], batch["key"], strict=True):
+                found = weighted_distance(form, key, min(edits_allowed(len(form)), edits_allowed(len(key))))
+                edits.append(found[0] if found else None)
+                weights.append(round(found[1], 3) if found else None)
+            yield batch.assign(edits=pd.array(edits, "Int32"), weight=pd.array(weights, "Float64"))
+
+    entry = "ref_id bigint, kind string, name string, city string, written string, uses bigint"
+    names = entries.mapInPandas(name_deletions, f"where_ string, deletion string, key string, {entry}")
+    tried = materialise(todo.select("kinds", "value").mapInPandas(value_deletions, "kinds string, value string, where_ string, form string, deletion string"), "deletions")
+    met = tried.join(names, ["where_", "deletion"]).drop("deletion")
+    near = met.mapInPandas(weigh, f"where_ string, kinds string, value string, form string, key string, {entry}, edits int, weight double").where("edits is not null")
+    # the towns that a value names as they are written
+    exact = tried.where("where_ = 'city' and deletion = form").select("kinds", "value", F.col("form").alias("key"))
+    towns = exact.join(names.where("where_ = 'city' and deletion = key").select("key", "name"), "key").groupBy("kinds", "value").agg(F.collect_set("name").alias("towns"))
+    placed = near.join(towns, ["kinds", "value"], "left").withColumn("town", F.when(F.array_contains("towns", F.col("city")), F.col("city")))
+    order = F.struct("edits", "weight", (-F.col("uses")).alias("often"), "ref_id", "kind", "name", "city", "written", "uses")
+    best = placed.groupBy("kinds", "value", "where_", "form", "town").agg(F.min(order).alias("e"))
+    few = best.groupBy("kinds", "value").agg(F.collect_set(F.struct("e.ref_id", "e.kind", "e.name", "e.city", "e.written", "e.uses")).alias("met"))
 
     def match(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -326,7 +344,7 @@ def match_by_join(todo: DataFrame, entries: DataFrame) -> DataFrame:
                 ids.append(decide(Matcher([e for e, _ in found], {e.ref_id: n for e, n in found}), v, k) if found else 0)
             yield pd.DataFrame({"kinds": list(batch["kinds"]), "value": list(batch["value"]), "n": list(batch["n"]), "ref_id": ids}, dtype=object)
 
-    return todo.join(met, ["kinds", "value"], "left").select("kinds", "value", "n", "met").mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint")
+    return todo.join(few, ["kinds", "value"], "left").select("kinds", "value", "n", "met").mapInPandas(match, "kinds string, value string, n bigint, ref_id bigint")
 
 
 def map_to_list(values: DataFrame, ref: DataFrame, broadcast_entries: int = MAX_BROADCAST_ENTRIES) -> DataFrame:

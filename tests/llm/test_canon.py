@@ -74,3 +74,14 @@ def test_rows(spark):
         assert got == {i: want for i, (_, _, want) in enumerate(VALUES)}
     assert map_to_list(spark.createDataFrame([], schema), ref).count() == 0
     assert [r["ref_id"] for r in map_to_list(spark.createDataFrame(values[1:2], schema), ref.limit(0)).collect()] == [0]
+
+
+def test_a_name_of_many_towns(spark):
+    """One street name in many towns: joined, few entries reach a value, and the result is that of the broadcast."""
+    towns = [(i, "city", f"Town{chr(97 + i // 26)}{chr(97 + i % 26)}ville", "", [f"Old{chr(97 + i // 26)}{chr(97 + i % 26)}place"]) for i in range(60)]
+    ref = spark.createDataFrame(towns + [(100 + i, "street", "Pearington Road", towns[i][2], None) for i in range(60)], REF_SCHEMA)
+    typed = ["12 Pearington Rd, Townabville", "5 pearingtn road, Oldbcplace", "Pearington Road, Nowhere", "7 Pearington"]
+    schema = "src string, row_id bigint, value string, kinds string"
+    values = spark.createDataFrame([("s", i, v, "street") for i, v in enumerate(typed)], schema)
+    got = [{r["row_id"]: r["ref_id"] for r in map_to_list(values, ref, most).collect()} for most in (0, 1000)]
+    assert got[0] == got[1] == {0: 101, 1: 128, 2: 100, 3: 100}
