@@ -48,7 +48,6 @@ _CHARACTER = "぀-ヿ㐀-鿿가-힯"
 _SIGN = re.compile(f"[{_CHARACTER}]")
 _GAP = re.compile(f"[\\s{_CHARACTER}]|\\Z")
 _LINK = re.compile(r"[^\W\d_][./:?=&_@\\]+[^\W\d_]")
-_SHORT = {n: re.compile(rf"(?<![^\W\d_])[^\W\d_]{{1,{n}}}(?![^\W\d_])") for n in range(1, 9)}
 _LONG = {n: re.compile(rf"[^\W\d_{_CHARACTER}]{{{n + 1},}}") for n in range(1, 9)}
 _END = re.compile(r"[.!?…][\"')”’]*(?:\s|$)|[。！？]")
 WORD, LINK = "\x01", "\x02"
@@ -97,11 +96,9 @@ def size_class(n: int, block: int) -> int:
 
 
 def short_words(text: str, short: int = 3) -> set[str]:
-    """The different short words of a text, and its signs."""
-    if text.isascii():
-        return set(_SHORT[short].findall(text.lower()))
-    words = {w for w in _SHORT[short].findall(text.lower()) if not _SIGN.match(w)}
-    return words | set(_SIGN.findall(text))
+    """The different short words of a text that stand alone, and its signs."""
+    words = {w for w in set(text.lower().split()) if len(w) <= short and w.isalpha()}
+    return words if text.isascii() else {w for w in words if not _SIGN.match(w)} | set(_SIGN.findall(text))
 
 
 def sentence_ends(text: str) -> tuple[int, int]:
