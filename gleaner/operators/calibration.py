@@ -34,14 +34,26 @@ def fit_line(pairs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
 
 def leave_one_out(pairs: DataFrame) -> DataFrame:
     """id, x, y, w, error of each pair under the line fitted to all the others; pairs whose rest has no weight or no two
-    different x are left out. The table of pairs is one row per store: joined with itself it stays small."""
-    rest = pairs.select(F.col("id").alias("out")).crossJoin(pairs).where(F.col("out") != F.col("id"))
-    fit = fit_line(rest.select("out", "x", "y", "w"), ["out"])
-    fits = rest.groupBy("out").agg(F.sum("w").alias("sw"), (F.max("x") != F.min("x")).alias("spread")).where("sw > 0 and spread")
-    return (
-        pairs.join(fit.join(fits.select("out"), "out").withColumnRenamed("out", "id"), "id")
-        .select("id", "x", "y", "w", (F.col("y") - (F.col("intercept") + F.col("slope") * F.col("x"))).alias("error"))
+    different x are left out.
+
+    No pair meets another: the sums about the common means, less the pair's own part, give the line of the others. Which
+    pairs leave no two different x behind follows from the least and greatest x and how many pairs have each.
+    """
+    means = pairs.agg(F.sum("w").alias("sw"), F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum("w")).alias("mx"), F.try_divide(F.sum(F.col("w") * F.col("y")), F.sum("w")).alias("my"))
+    ends = pairs.agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.count_distinct("x").alias("kinds"))
+    each = pairs.crossJoin(F.broadcast(means)).crossJoin(F.broadcast(ends)).withColumns({"dx": F.col("x") - F.coalesce("mx", F.lit(0.0)), "dy": F.col("y") - F.coalesce("my", F.lit(0.0))})
+    sums = each.agg(
+        F.sum(F.col("w") * F.col("dx")).alias("sx"), F.sum(F.col("w") * F.col("dy")).alias("sy"), F.sum(F.col("w") * F.col("dx") ** 2).alias("sxx"), F.sum(F.col("w") * F.col("dx") * F.col("dy")).alias("sxy"),
+        F.count_if(F.col("x") == F.col("lo")).alias("n_lo"), F.count_if(F.col("x") == F.col("hi")).alias("n_hi"),
     )
+    less = lambda total, own: F.col(total) - own
+    w, dx, dy = F.col("w"), F.col("dx"), F.col("dy")
+    rows = each.crossJoin(F.broadcast(sums)).withColumns({"rw": less("sw", w), "rx": less("sx", w * dx), "ry": less("sy", w * dy), "rxx": less("sxx", w * dx * dx), "rxy": less("sxy", w * dx * dy)})
+    spread = F.when(F.col("kinds") > 2, True).when(F.col("kinds") < 2, False).otherwise(F.when(F.col("x") == F.col("lo"), F.col("n_lo") > 1).otherwise(F.col("n_hi") > 1))
+    mx, my = F.try_divide("rx", "rw"), F.try_divide("ry", "rw")
+    var = F.col("rxx") - F.col("rw") * mx * mx
+    slope = F.when(var <= 0, 0.0).otherwise(F.try_divide(F.col("rxy") - F.col("rw") * mx * my, var))
+    return rows.where((F.col("rw") > 0) & spread).select("id", "x", "y", "w", (dy - (my + slope * (dx - mx))).alias("error"))
 
 
 def calibrate(pairs: DataFrame) -> DataFrame:
@@ -62,6 +74,28 @@ def calibrate(pairs: DataFrame) -> DataFrame:
     )
 
 
+def claim_calibration(first: DataFrame, second: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """The line from the second source's raw means to the first's, over the stores that both know well enough. first,
+    second: store, n, score, valenced."""
+    enough = lambda d: d.where((F.col("valenced") > 0) & (F.col("n") >= s.min_claims_to_calibrate))
+    pairs = enough(first).alias("a").join(enough(second).alias("b"), "store").select(
+        F.col("store").alias("id"), (F.col("b.score") / F.col("b.valenced")).alias("x"), (F.col("a.score") / F.col("a.valenced")).alias("y"), F.col("a.valenced").alias("w")
+    )
+    return calibrate(pairs)
+
+
+def combine_claims(first: DataFrame, second: DataFrame, keys: Sequence[str], fit: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Two sources of claims, full outer by keys, on the first's scale. fit: one row, a calibration; without one no rows."""
+    keys = list(keys)
+    side = lambda d, i: d.select(*keys, F.col("score").alias(f"s{i}"), F.col("valenced").alias(f"w{i}"))
+    rows = side(first, 1).join(side(second, 2), keys, "full").crossJoin(F.broadcast(fit))
+    one, two = F.col("w1") > 0, F.col("w2") > 0
+    return combine(
+        rows, keys, F.when(one, F.col("s1") / F.col("w1")), F.when(one, first_variance(F.col("w1"))),
+        F.when(two, apply_line(F.col("s2") / F.col("w2"))), F.when(two, claim_variance(F.col("w2"))), s,
+    )
+
+
 def apply_line(x: Column) -> Column:
     """On the first source's scale, kept within it. The calibration's columns are at hand."""
     return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("intercept") + F.col("slope") * x))
@@ -94,7 +128,7 @@ def combine(df: DataFrame, keys: Sequence[str], value_1: Column, var_1: Column,
     gap = F.when(both, F.col("_v2") - F.col("_v1")).otherwise(0.0)
     return rows.select(
         *keys, F.round(raw * precision / (precision + s.shrinkage), digits).alias("v"), F.round(F.sqrt(1.0 / (precision + s.shrinkage)), digits).alias("se"),
-        F.round(F.col("_p1") / precision, digits).alias("share"), F.round(gap, digits).alias("gap"),
+        F.round(F.col("_p1") / precision, digits).alias("share"), (F.round(gap, digits) + F.lit(0.0)).alias("gap"),
         F.coalesce(both & (F.abs(gap) > s.disagreement_sigmas * F.sqrt("_s")), F.lit(False)).alias("conflict"),
         F.round("_v1", digits).alias("r"), F.round("_v2", digits).alias("g"),
     )

@@ -44,6 +44,12 @@ def store_documents(cells: DataFrame, quoted: DataFrame) -> DataFrame:
     return each.groupBy("store").agg(F.map_from_entries(F.collect_list(F.struct("category", cell.alias("cell")))).alias("m")).select("store", F.to_json("m").alias("body"))
 
 
+def totals_section(totals: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """store, n, w, s, thin: the published totals."""
+    weight = F.col("weighted_evidence")
+    return totals.select("store", F.col("n_claims").alias("n"), F.round(weight, 1).alias("w"), F.round("sentiment", 3).alias("s"), (weight < s.min_weight).alias("thin"))
+
+
 def published_places(places: DataFrame, cells: DataFrame) -> DataFrame:
     """Pins of stores that have published cells."""
     return places.join(cells.select("store").distinct(), "store", "left_semi")

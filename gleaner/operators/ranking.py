@@ -24,6 +24,12 @@ def keyword_table(spark) -> DataFrame:
     return spark.createDataFrame(rows, "word string, category string")
 
 
+def ordered_keywords(spark) -> DataFrame:
+    """word, ord: each keyword once, in declared order."""
+    words = dict.fromkeys(w for words in vocab.LIST_WORDS.values() for w in words)
+    return spark.createDataFrame(list(zip(words, range(len(words)))), "word string, ord int")
+
+
 def parse_list(text) -> object:
     """The distinct terms of a shopping list, the first 40, in order."""
     parts = F.transform(F.split(text, r"[\n,;]+"), lambda x: F.lower(F.trim(x)))

@@ -150,6 +150,15 @@ def select_candidates(docs: DataFrame, order: list[str], s: Settings = Settings(
     return out if limit is None else out.orderBy(*order).limit(limit)
 
 
+def selection_counts(docs: DataFrame, order: list[str], s: Settings = Settings()) -> DataFrame:
+    """scanned, kept, duplicates: documents looked at, those selected, and qualified ones whose text came before."""
+    qualified = materialise(qualify(docs, s), "qualified")
+    counts = qualified.agg(F.count(F.lit(1)).alias("qualified"))
+    kept = first_texts(qualified, order).agg(F.count(F.lit(1)).alias("kept"))
+    scanned = docs.agg(F.count(F.lit(1)).alias("scanned"))
+    return scanned.crossJoin(kept).crossJoin(counts).select("scanned", "kept", (F.col("qualified") - F.col("kept")).alias("duplicates"))
+
+
 def store_report(candidates: DataFrame) -> DataFrame:
     return candidates.select(F.explode("stores").alias("store")).groupBy("store").agg(F.count(F.lit(1)).alias("n"))
 

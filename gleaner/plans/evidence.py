@@ -23,6 +23,10 @@ def _weighed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.weigh(ev.prepare(_claims(spark, sf_dir), S), S)
 
 
+def _weighed_where(spark: SparkSession, sf_dir: str, condition: str) -> DataFrame:
+    return ev.weigh(ev.prepare(_claims(spark, sf_dir).where(condition), S), S)
+
+
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.branch_cells(_weighed(spark, sf_dir))
 

@@ -181,21 +181,8 @@ def _review_cells(spark, sf_dir):
 def ml_combine_category(spark, sf_dir):
     """Two claim-based sources, full outer by (store, category), calibrated at store level."""
     first, second = _review_cells(spark, sf_dir)
-    t1, t2 = (ev.store_totals(c).where("valenced > 0") for c in (first, second))
-    pairs = t1.where(F.col("n") >= S.min_claims_to_calibrate).alias("a").join(t2.where(F.col("n") >= S.min_claims_to_calibrate).alias("b"), "store").select(
-        F.col("store").alias("id"), (F.col("b.score") / F.col("b.valenced")).alias("x"), (F.col("a.score") / F.col("a.valenced")).alias("y"), F.col("a.valenced").alias("w")
-    )
-    fit = materialise(cal.calibrate(materialise(pairs, "pairs")), "calibration")
-    rows = (
-        first.select("store", "category", F.col("score").alias("s1"), F.col("valenced").alias("w1"))
-        .join(second.select("store", "category", F.col("score").alias("s2"), F.col("valenced").alias("w2")), ["store", "category"], "full")
-        .crossJoin(F.broadcast(fit))
-    )
-    one, two = F.col("w1") > 0, F.col("w2") > 0
-    return cal.combine(
-        rows, ["store", "category"], F.when(one, F.col("s1") / F.col("w1")), F.when(one, cal.first_variance(F.col("w1"))),
-        F.when(two, cal.apply_line(F.col("s2") / F.col("w2"))), F.when(two, cal.claim_variance(F.col("w2"))), S,
-    )
+    fit = materialise(cal.claim_calibration(ev.store_totals(first), ev.store_totals(second), S), "calibration")
+    return cal.combine_claims(first, second, ["store", "category"], fit, S)
 
 
 def join_cross_gap(spark, sf_dir):
@@ -270,7 +257,7 @@ _CLAIMS_STARS = base.BASE + f", {_REVIEWS}, {_T}, {_ST}, {_PAIRS}, {_FIT}"
 
 def _combine(keys: str, source: str, v1: str, var1: str, v2: str, var2: str) -> str:
     return f"""SELECT {keys}, round((coalesce(v1 * p1, 0) + coalesce(v2 * p2, 0)) / (p1 + p2) * (p1 + p2) / (p1 + p2 + 2), 4) AS v, round(sqrt(1 / (p1 + p2 + 2)), 4) AS se,
-        round(p1 / (p1 + p2), 4) AS share, round(coalesce(v2 - v1, 0.0), 4) AS gap, coalesce(abs(v2 - v1) > 2.0 * sqrt(s1 + s2), false) AS conflict, round(v1, 4) AS r, round(v2, 4) AS g
+        round(p1 / (p1 + p2), 4) AS share, round(coalesce(v2 - v1, 0.0), 4) + 0.0 AS gap, coalesce(abs(v2 - v1) > 2.0 * sqrt(s1 + s2), false) AS conflict, round(v1, 4) AS r, round(v2, 4) AS g
         FROM (SELECT *, CASE WHEN v1 IS NULL THEN 0.0 ELSE 1 / s1 END AS p1, CASE WHEN v2 IS NULL THEN 0.0 ELSE 1 / s2 END AS p2
             FROM (SELECT *, {v1} AS v1, {var1} AS s1, {v2} AS v2, {var2} AS s2 FROM {source})) WHERE v1 IS NOT NULL OR v2 IS NOT NULL"""
 
