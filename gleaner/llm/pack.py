@@ -288,11 +288,11 @@ def pack_documents(documents: DataFrame, packs: DataFrame, tokenizer: Tokenizer
     ).where(F.col("n") > 0)
     items = whole.unionByName(rest).withColumn("slot", F.col("pack").cast("bigint") * (MAX_CAPACITY + 1) + F.col("n"))
     numbered = materialise(number_rows(items, "slot", [F.col("doc_id")]).select("pack", "doc_id", "part", "n", "slot", "number"), "items")
-    histogram: dict[int, dict[int, int]] = {}
-    # at most one row for each pack and length up to its capacity
-    for r in numbered.groupBy("pack", "n").agg(F.max("number").alias("last")).collect():
-        histogram.setdefault(r["pack"], {})[r["n"]] = r["last"] + 1
-    plans = {i: plan_patterns(histogram.get(i, {}), c, settings) for i, _, c in chosen}
+    histogram = materialise(numbered.groupBy("pack", "n").agg((F.max("number") + 1).alias("items")), "histogram")
+    # a pack at a time: at most one row for each length up to its capacity
+    plans = {}
+    for i, _, c in chosen:
+        plans[i] = plan_patterns({r["n"]: r["items"] for r in histogram.where(F.col("pack") == i).collect()}, c, settings)
     shared = spark.sparkContext.broadcast(ranges_of(plans, dict.fromkeys(plans, 0)))
 
     @F.pandas_udf("bigint")
