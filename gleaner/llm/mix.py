@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.tokens import Tokenizer, with_token_count
@@ -89,29 +89,26 @@ def quotas(rows: DataFrame, targets: list[Target], settings: MixSettings) -> lis
         if not open_:
             break
         shift = settings.level_bits * (settings.levels - 1 - level)
-        border = F.broadcast(spark.createDataFrame([(s, prefix) for s, (_, prefix, _) in open_.items()], "source string, prefix bigint"))
+        border = F.broadcast(spark.createDataFrame([(s, prefix, rest) for s, (_, prefix, rest) in open_.items()], "source string, prefix bigint, rest double"))
         sums = (
             rows.join(border, "source").where(F.shiftright("h", shift + settings.level_bits) == F.col("prefix"))
-            .groupBy("source", F.shiftright("h", shift).alias("bucket"))
+            .groupBy("source", "rest", F.shiftright("h", shift).alias("bucket"))
             .agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
         )
-        # at most 2 ** level_bits rows for each source
-        by: dict[str, list[tuple[int, int, int]]] = {}
-        for r in sums.collect():
-            by.setdefault(r["source"], []).append((r["bucket"], r["tokens"], r["n"]))
+        # running sums over at most 2 ** level_bits buckets of a source; one row for each source comes to the driver
+        upto = F.sum("tokens").over(Window.partitionBy("source").orderBy("bucket"))
+        over = sums.withColumn("upto", upto).where(F.col("upto") > F.col("rest"))
+        first = over.groupBy("source").agg(F.min_by(F.struct("bucket", "tokens", "n", "upto"), "bucket").alias("b"))
+        found = {r["source"]: r["b"] for r in first.collect()}
         for source, (copies, prefix, rest) in list(open_.items()):
-            cut, alone = None, False
-            for bucket, tokens, n in sorted(by.get(source, [])):
-                if tokens > rest:
-                    cut, alone = bucket, n == 1
-                    # the document at the border is taken where that comes nearer to the budget
-                    if alone and tokens - rest < rest:
-                        cut += 1
-                    break
-                rest -= tokens
-            if cut is None:
-                cut = (prefix + 1) << settings.level_bits
-                alone = True
+            at = found.get(source)
+            if at is None:
+                cut, alone = (prefix + 1) << settings.level_bits, True
+            else:
+                cut, alone, rest = at["bucket"], at["n"] == 1, rest - (at["upto"] - at["tokens"])
+                # the document at the border is taken where that comes nearer to the budget
+                if alone and at["tokens"] - rest < rest:
+                    cut += 1
             if alone or level == settings.levels - 1:
                 out.append(Quota(source, copies, cut << shift))
                 del open_[source]
