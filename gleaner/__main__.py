@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
 
 from pyspark.sql import functions as F
@@ -31,9 +32,17 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--subreddits", nargs="*")
         c.add_argument("--limit", type=int)
         c.add_argument("--least", type=float, default=0.0)
+        c.add_argument("--provider", help="module:name of what makes a provider; without it word lists decide")
     return p
 
 
+def provider_of(name: str | None) -> ex.Provider:
+    if not name:
+        return ex.WordProvider()
+    module, _, factory = name.partition(":")
+    return getattr(importlib.import_module(module), factory)()
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     spark, s = session(), Settings(now=args.now)
@@ -47,7 +56,8 @@ def main(argv: list[str] | None = None) -> int:
             sinks.publish(kept.select(*[c.split()[0] for c in jsonl.CANDIDATE.split(", ")]), args.out, fmt="json")
         elif args.command == "extract":
             documents, _ = jsonl.read_candidates(spark, args.candidates)
-            done = ex.run_extraction(documents, args.folder, ex.WordProvider())
+            with sinks.single_writer(spark, args.folder):
+                done = ex.run_extraction(documents, args.folder, provider_of(args.provider), progress=ex.progress_lines())
             print(done)
             return 1 if done.stopped else 0
         elif args.command == "aggregate":
@@ -65,7 +75,7 @@ def main(argv: list[str] | None = None) -> int:
         elif args.command == "evaluate":
             gold = jsonl.read_gold(spark, args.gold)
             cases = gold.select(F.col("id").alias("case"), F.lit("gold").alias("subreddit"), F.lit("comments").alias("kind"), "id", "text", "parent_body", "stores")
-            claims = ex.extract(cases, ex.WordProvider()).where("status = 'ok'").select(F.regexp_extract("key", "_gold_(.*)$", 1).alias("case"), F.posexplode(F.from_json("payload", ex.CLAIMS)).alias("ord", "c"))
+            claims = ex.extract(cases, provider_of(args.provider)).where("status = 'ok'").select(F.regexp_extract("key", "_gold_(.*)$", 1).alias("case"), F.posexplode(F.from_json("payload", ex.CLAIMS)).alias("ord", "c"))
             score = materialise(evl.score(evl.compare(cases.select("case"), evl.expected_claims(gold), claims.select("case", "ord", "c.*"))), "score")
             score.coalesce(1).write.mode("overwrite").json(args.results)
             print("\n".join(reports.score_lines(score)))
@@ -75,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
     except sinks.EmptyResultError as e:
         print(e, file=sys.stderr)
         return 1
-    except FileNotFoundError as e:
+    except (FileNotFoundError, sinks.LockedError) as e:
         print(e, file=sys.stderr)
         return 2
     finally:

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner import vocab
@@ -29,11 +29,46 @@ RESULT = "key string, status string, payload string, tokens_in bigint, tokens_ou
 _CONTROL = r"[\x{00}-\x{08}\x{0B}-\x{1F}\x{7F}-\x{9F}]"
 
 
+#: The values each closed field may have, and the fields of a claim; text fields may hold anything.
+CLOSED = {
+    "store": (*vocab.STORE_PATTERNS, "other"), "category": vocab.CATEGORIES, "sentiment": ("positive", "negative", "mixed", "neutral"), "price_signal": ("cheap", "expensive", "fair", "none"),
+    "confidence": ("high", "medium", "low"), "comparator_store": (*vocab.STORE_PATTERNS, "other", ""),
+}
+CLAIM_FIELDS = ("store", "location", "category", "item", "claim", "sentiment", "price_signal", "confidence", "comparator_store", "transient")
+USED = ("tokens_in", "tokens_out", "cache_read", "cache_write")
+
+
 class TransientError(RuntimeError):
     """Worth another try."""
 
 
+class AnsweredError(RuntimeError):
+    """An answer came, and was paid for, but holds no claims that can be used. used: the tokens it cost."""
+
+    def __init__(self, message: str, used: dict[str, int] | None = None) -> None:
+        super().__init__(message)
+        self.used = used or {}
+
+
+def checked(claims: object, used: dict[str, int]) -> list[dict]:
+    """The claims if they are a list of objects with exactly a claim's fields, of their types and allowed values."""
+    if not isinstance(claims, list):
+        raise AnsweredError("claims must be a list", used)
+    for c in claims:
+        if not isinstance(c, dict) or set(c) != set(CLAIM_FIELDS):
+            raise AnsweredError("a claim has exactly the fields " + ", ".join(CLAIM_FIELDS), used)
+        for name, value in c.items():
+            if not isinstance(value, bool if name == "transient" else str):
+                raise AnsweredError(f"{name} has the wrong type", used)
+            if name in CLOSED and value not in CLOSED[name]:
+                raise AnsweredError(f"{name} must not be {value!r}", used)
+    return claims
+
+
 class Provider(Protocol):
+    """(claims, tokens used) of one document. None for claims means that the provider declined: no claims, no error. It
+    raises TransientError where another try may help, and AnsweredError for an answer that was paid for but is of no use."""
+
     def __call__(self, text: str, parent: str, stores: list[str]) -> tuple[list[dict], dict[str, int]]: ...
 
 
@@ -70,10 +105,10 @@ class Retry:
 
 @dataclass(frozen=True)
 class Limits:
-    """chunk: documents between commits. failures: in a row that stop the run. cost: ceiling, with prices per million
-    tokens (in, out, cache read, cache write)."""
+    """chunk: documents between commits. failures: in a row, in the order of the keys, that stop the run. cost: ceiling, with
+    prices per million tokens (in, out, cache read, cache write). The run looks at both after each chunk."""
 
-    chunk: int = 10_000
+    chunk: int = 1_000
     failures: int = 50
     cost: float | None = None
     prices: tuple[float, float, float, float] = (0.0, 0.0, 0.0, 0.0)
@@ -91,7 +126,8 @@ def call_with_retries(provider: Provider, text: str, parent: str, stores: list[s
 
 
 def extract(documents: DataFrame, provider: Provider, retry: Retry = Retry()) -> DataFrame:
-    """key, status (ok or error), payload (claims as JSON, or the error) and the tokens used, for each document."""
+    """key, status (ok, refusal or error), payload (claims as JSON, or the error) and the tokens used, for each document;
+    what was paid for counts whatever came of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -99,9 +135,11 @@ def extract(documents: DataFrame, provider: Provider, retry: Retry = Retry()) ->
             for r in batch.itertuples(index=False):
                 try:
                     claims, used = call_with_retries(provider, r.text, r.parent_body or "", list(r.stores), retry)
-                    rows.append((r.key, "ok", json.dumps(claims), *[used.get(k, 0) for k in ("tokens_in", "tokens_out", "cache_read", "cache_write")]))
+                    status, payload = ("refusal", "[]") if claims is None else ("ok", json.dumps(checked(claims, used)))
                 except Exception as e:  # noqa: BLE001
-                    rows.append((r.key, "error", str(e)[:500], 0, 0, 0, 0))
+                    used = getattr(e, "used", {})
+                    status, payload = "error", str(e)[:500]
+                rows.append((r.key, status, payload, *[used.get(k, 0) for k in USED]))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")], dtype=object)
 
     keyed = documents.select(document_key(F.col("kind"), F.col("subreddit"), F.col("id")).alias("key"), "text", "parent_body", "stores")
@@ -126,7 +164,8 @@ def sample(documents: DataFrame, n: int | None, seed: int = 0) -> DataFrame:
     """A fixed sample without replacement: all for None, none for n <= 0. The order is by a hash of the document's key."""
     if n is None:
         return documents
-    return documents.orderBy(F.xxhash64(document_key(F.col("kind"), F.col("subreddit"), F.col("id")), F.lit(seed))).limit(max(n, 0))
+    key = document_key(F.col("kind"), F.col("subreddit"), F.col("id"))
+    return documents.orderBy(F.sha2(F.concat_ws(":", key, F.lit(str(seed))), 256), key).limit(max(n, 0))
 
 
 def cost(prices: tuple[float, float, float, float]) -> Column:
@@ -147,9 +186,26 @@ class RunReport:
     chunks: list[int] = field(default_factory=list)
 
 
-def run_extraction(documents: DataFrame, folder: str, provider: Provider, retry: Retry = Retry(), limits: Limits = Limits(), stop: Callable[[], bool] = lambda: False) -> RunReport:
+def failures_in_a_row(results: DataFrame, before: int) -> tuple[int, int]:
+    """(longest run, run at the end) of failures in the order of the keys, `before` of them having come before the first. At
+    most a chunk's keys are looked at."""
+    order = Window.orderBy("key")
+    marked = results.select("key", (F.col("status") == "error").alias("bad"))
+    runs = marked.withColumn("run", F.sum(F.when(F.col("bad"), 0).otherwise(1)).over(order)).groupBy("run").agg(F.count_if("bad").alias("n"))
+    row = runs.agg(F.max(F.col("n") + F.when(F.col("run") == 0, before).otherwise(0)).alias("most"), F.max_by("n", "run").alias("end"), F.max("run").alias("last")).first()
+    if row["most"] is None:
+        return before, before
+    return row["most"], row["end"] + (before if row["last"] == 0 else 0)
+
+
+def run_extraction(
+    documents: DataFrame, folder: str, provider: Provider, retry: Retry = Retry(), limits: Limits = Limits(), stop: Callable[[], bool] = lambda: False,
+    progress: Callable[[int, int, RunReport, float], None] = lambda i, total, report, seconds: None,
+) -> RunReport:
     """Extract what the ledger in folder doesn't have. Chunks are cut by hash of the key, so any number of documents is
-    spread evenly; claims are written before the ledger's keys."""
+    spread evenly; claims are written before the ledger's keys. A document the provider declines is done, without claims.
+    progress is called after each chunk with the documents so far, all of them, the report and the seconds gone by."""
+    began = time.monotonic()
     spark = documents.sparkSession
     report = RunReport()
     key = document_key(F.col("kind"), F.col("subreddit"), F.col("id"))
@@ -166,14 +222,15 @@ def run_extraction(documents: DataFrame, folder: str, provider: Provider, retry:
         claims = claims_of(results, part)
         claims.write.mode("append").json(f"{folder}/claims")
         results.where("status = 'error'").select("key", F.col("payload").alias("error")).write.mode("append").json(f"{folder}/failed")
-        results.where("status = 'ok'").select("key").write.mode("append").text(f"{folder}/done")
-        facts = results.agg(F.count_if(F.col("status") == "ok").alias("ok"), F.count_if(F.col("status") == "error").alias("bad"), cost(limits.prices).alias("cost")).first()
+        results.where("status in ('ok', 'refusal')").select("key").write.mode("append").text(f"{folder}/done")
+        facts = results.agg(F.count_if(F.col("status") != "error").alias("ok"), F.count_if(F.col("status") == "error").alias("bad"), cost(limits.prices).alias("cost")).first()
         report.done += facts["ok"]
         report.failed += facts["bad"]
         report.spent += facts["cost"] or 0.0
         report.chunks.append(facts["ok"] + facts["bad"])
-        in_a_row = in_a_row + facts["bad"] if facts["ok"] == 0 else 0
-        if in_a_row >= limits.failures:
+        most, in_a_row = failures_in_a_row(results, in_a_row)
+        progress(report.done + report.failed, total, report, time.monotonic() - began)
+        if most >= limits.failures:
             report.stopped = "too many failures in a row"
             break
         if limits.cost is not None and report.spent >= limits.cost:
@@ -184,6 +241,20 @@ def run_extraction(documents: DataFrame, folder: str, provider: Provider, retry:
     return report
 
 
+def progress_lines(every: int = 100, say: Callable[[str], None] = print) -> Callable[[int, int, RunReport, float], None]:
+    """A progress callback: a line for each further `every` documents, and one at the end."""
+    told = [0]
+
+    def report(i: int, total: int, run: RunReport, seconds: float) -> None:
+        if i // every == told[0] and i != total:
+            return
+        told[0] = i // every
+        rate = i / seconds if seconds > 0 else 0.0
+        say(f"{i}/{total} done, {run.failed} failed, {rate:.1f} a second, {(total - i) / rate / 60 if rate else 0:.0f} min left")
+
+    return report
+
+
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     if not exists(spark, f"{folder}/done"):
         return spark.createDataFrame([], "key string")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from gleaner import vocab
 
 
-def store_hits(text: Column) -> Column:
+def store_hits(text: Column, gated: bool = True) -> Column:
     """The stores whose pattern the (lower case) text meets, in their declared order. A pattern is tried only where its
-    literal stands."""
-    hit = {name: text.contains(vocab.STORE_LITERALS[name]) & text.rlike(f"(?U){p}") for name, p in vocab.STORE_PATTERNS.items()}
+    literal stands, unless gated is false."""
+    hit = {name: (text.contains(vocab.STORE_LITERALS[name]) if gated else F.lit(True)) & text.rlike(f"(?U){p}") for name, p in vocab.STORE_PATTERNS.items()}
     return F.array_compact(F.array(*[F.when(met, F.lit(name)) for name, met in hit.items()]))
 
 

@@ -37,7 +37,7 @@ def flt_context(spark, sf_dir):
 
 def flt_may_mention(spark, sf_dir):
     rows = _docs(spark, sf_dir).where(~sel.may_mention(F.lower("text")))
-    return rows.select(F.count(F.lit(1)).alias("n_without"), F.count_if(F.size(pl.store_hits(F.lower("text"))) > 0).alias("n_missed"))
+    return rows.select(F.count(F.lit(1)).alias("n_without"), F.count_if(F.size(pl.store_hits(F.lower("text"), gated=False)) > 0).alias("n_missed"))
 
 
 def str_matched_stores(spark, sf_dir):
@@ -215,7 +215,7 @@ ORACLES = {
     "flt_bot": f"SELECT delivery_id FROM candidates WHERE coalesce(author, '') NOT IN {_BOTS}",
     "flt_evaluative": f"SELECT delivery_id, {_JUDGES} AS judges FROM candidates WHERE text IS NOT NULL",
     "flt_context": f"SELECT delivery_id, {_has(vocab.CONTEXT, 'lower(text)')} AS in_context FROM candidates WHERE text IS NOT NULL",
-    "flt_may_mention": "SELECT count(*) AS n_without, cast(0 AS BIGINT) AS n_missed FROM candidates WHERE text IS NOT NULL AND NOT (" + " OR ".join(f"contains(lower(text), '{x}')" for x in vocab.STORE_LITERALS.values()) + ")",
+    "flt_may_mention": f"WITH {_DOCS} SELECT count(*) AS n_without, count(*) FILTER (len(hits) > 0) AS n_missed FROM (SELECT *, {_hits('low')} AS hits FROM docs) WHERE NOT (" + " OR ".join(f"contains(low, '{x}')" for x in vocab.STORE_LITERALS.values()) + ")",
     "str_matched_stores": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, array_to_string(own, '|') AS stores FROM own",
     "win_first_mention": f"WITH {_DOCS}, {_OWN} SELECT delivery_id, cast(coalesce({_AT}, 0) AS BIGINT) AS at FROM own",
     "str_excerpt": f"""WITH d AS (SELECT doc_id, text, lower(text) AS low, substr(text, 1, 6000) AS head, lower(substr(text, 1, 6000)) AS hlow FROM documents WHERE text IS NOT NULL),

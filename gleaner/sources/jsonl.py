@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.config import Settings
+from gleaner.functions.text import strip
 from gleaner.operators import validation as val
 
 RAW = "id string, created_utc bigint, author string, parent_id string, score bigint, body string, title string, selftext string, permalink string, link_id string"
@@ -49,11 +50,12 @@ def read_claims(spark: SparkSession, path: str, s: Settings = Settings()) -> tup
 
 def read_shards(spark: SparkSession, root: str, subreddits: list[str] | None = None) -> DataFrame:
     """Raw documents of root/<kind>/<subreddit>/<window>.ndjson.gz with kind, subreddit, window, shard and ord (place in
-    the shard); lines that don't parse are left out. Only the paths of wanted subreddits are listed and opened."""
+    the shard); lines that don't parse are left out. Only the paths of wanted subreddits are listed and opened; one
+    that has no shard is an error."""
     paths = [f"{root}/*/{x}/*.ndjson.gz" for x in subreddits] if subreddits else [f"{root}/*/*/*.ndjson.gz"]
-    paths = [p for p in paths if exists(spark, p)]
-    if not paths:
-        raise FileNotFoundError(f"no shards under {root}")
+    missing = [p for p in paths if not exists(spark, p)]
+    if missing:
+        raise FileNotFoundError(f"no shards at {', '.join(missing)}")
     rows = spark.read.text(paths).select("value", F.input_file_name().alias("shard"), F.monotonically_increasing_id().alias("ord"))
     part = lambda i: F.regexp_extract("shard", r"([^/]+)/([^/]+)/([^/]+)\.ndjson\.gz$", i)
     parsed = rows.where(F.try_parse_json("value").isNotNull()).withColumn("r", F.from_json("value", RAW)).where(F.col("r").isNotNull())
@@ -83,7 +85,26 @@ def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     """Ratings with the length of their text in place of it; without rating or time none."""
     schema = "store string, gmap_id string, rating double, time bigint, text string"
     rows = spark.read.schema(schema).json(path).where("rating is not null and time is not null")
-    return rows.select("store", "gmap_id", "rating", "time", F.length(F.trim(F.coalesce("text", F.lit("")))).alias("text_len"))
+    return rows.select("store", "gmap_id", "rating", "time", F.length(strip(F.coalesce("text", F.lit("")))).alias("text_len"))
+
+
+def read_review_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Reviews with their text and writer, of all ratings; lines that don't parse, and those without a place, are left out."""
+    return spark.read.schema("store string, gmap_id string, rating double, time bigint, user_id string, text string").json(path).where("gmap_id is not null")
+
+
+def read_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row: a JSON document (verdicts, places, a cross-check) that is one file. Null fields where the document lacks them;
+    an error where it does not parse."""
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+
+
+def read_history(texts: DataFrame, column: str) -> DataFrame:
+    """at, store, name, qty, price: the lines of kept receipts, each row of the column being one JSON list of receipts. What is
+    no list has none, nor have receipts without a list of lines."""
+    receipt = "array<struct<at:bigint,store:string,lines:array<struct<name:string,qty:int,price:double>>>>"
+    kept = texts.where(F.schema_of_variant(F.try_parse_json(column)).startswith("ARRAY")).select(F.explode(F.from_json(column, receipt)).alias("r")).where("r.lines is not null")
+    return kept.select("r.at", "r.store", F.explode("r.lines").alias("l")).select("at", "store", "l.name", "l.qty", "l.price")
 
 
 def optional(spark: SparkSession, path: str | None, schema: str) -> DataFrame:

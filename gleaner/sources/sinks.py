@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,13 +24,41 @@ def _move(spark: SparkSession, source: str, target: str) -> None:
     path = jvm.org.apache.hadoop.fs.Path
     fs = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     old = f"{target}.old-{uuid.uuid4().hex[:8]}"
-    if fs.exists(path(target)):
-        fs.rename(path(target), path(old))
-    if not fs.rename(path(source), path(target)):
+    had = fs.exists(path(target))
+    if had and not fs.rename(path(target), path(old)):
+        raise OSError(f"could not move {target} away")
+    try:
+        moved = fs.rename(path(source), path(target))
+    except Exception:
+        moved = False
+    if not moved:
+        if had:
+            fs.rename(path(old), path(target))
         raise OSError(f"could not move {source} to {target}")
     fs.delete(path(old), True)
 
 
+class LockedError(RuntimeError):
+    pass
+
+
+@contextmanager
+def single_writer(spark: SparkSession, folder: str, name: str = "_lock") -> Iterator[None]:
+    """Only one run may write to the folder: its lock file is made as one step, and goes with the run. A lock that a dead
+    run has left is for a person to delete."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p.getParent())
+    try:
+        fs.create(p, False).close()
+    except Py4JJavaError as e:
+        raise LockedError(f"another run writes to {folder}; if none does, delete {name} there") from e
+    try:
+        yield
+    finally:
+        fs.delete(p, False)
+
+
 def publish(df: DataFrame, path: str, *, fmt: str = "parquet", allow_empty: bool = False, links: str | None = None, check: bool = False) -> None:
     """Write beside, look at what was written, then swap. An empty result leaves the old one in place and is an error."""
     spark = df.sparkSession

@@ -49,6 +49,49 @@ def test_breaker_ceiling_and_stop(spark, tmp_path):
     assert ex.run_extraction(docs(spark), str(tmp_path / "c"), ex.WordProvider(), stop=lambda: True).stopped == "asked to stop"
 
 
+GOOD = {"store": "Aldi", "location": "", "category": "dairy", "item": "", "claim": "c", "sentiment": "positive", "price_signal": "none", "confidence": "high", "comparator_store": "", "transient": False}
+
+
+@pytest.mark.parametrize(
+    "claims", ["no list", [1], [{**GOOD, "extra": 1}], [{k: v for k, v in GOOD.items() if k != "item"}], [{**GOOD, "store": "Nowhere"}], [{**GOOD, "sentiment": "glad"}], [{**GOOD, "transient": "no"}], [{**GOOD, "claim": None}]]
+)
+def test_answers_outside_the_schema_are_errors_that_cost(claims):
+    with pytest.raises(ex.AnsweredError) as e:
+        ex.checked(claims, {"tokens_out": 7})
+    assert e.value.used == {"tokens_out": 7}
+
+
+def test_what_was_paid_for_counts_and_a_refusal_is_done(spark, tmp_path):
+    assert ex.checked([GOOD], {}) == [GOOD] and ex.checked([], {}) == []
+
+    class Mixed:
+        def __call__(self, text, parent, stores):
+            if text.endswith("1"):
+                raise ex.AnsweredError("no text in the answer", {"tokens_out": 1_000_000})
+            if text.endswith("2"):
+                return None, {"tokens_out": 5}
+            return [{**GOOD, "store": "Nowhere"}] if text.endswith("3") else [GOOD], {"tokens_out": 10}
+
+    rows = {r["key"]: r for r in ex.extract(docs(spark, 5), Mixed()).collect()}
+    of = lambda i: (rows[f"c_town_i{i}"]["status"], rows[f"c_town_i{i}"]["tokens_out"])
+    assert [of(i) for i in range(5)] == [("ok", 10), ("error", 1_000_000), ("refusal", 5), ("error", 10), ("ok", 10)]
+    out = ex.run_extraction(docs(spark, 5), str(tmp_path), Mixed(), limits=ex.Limits(prices=(0, 1.0, 0, 0)))
+    assert (out.done, out.failed, out.claims) == (3, 2, 2) and out.spent == pytest.approx(1.000035)
+    assert {r["key"] for r in ex.read_ledger(spark, str(tmp_path)).collect()} == {"c_town_i0", "c_town_i2", "c_town_i4"}
+
+
+def test_failures_in_a_row_follow_the_keys(spark):
+    rows = spark.createDataFrame([(f"k{i:02}", "error" if c == "x" else "ok") for i, c in enumerate("xx.xxx.x")], "key string, status string")
+    assert ex.failures_in_a_row(rows, 0) == (3, 1) and ex.failures_in_a_row(rows, 9) == (11, 1)
+    assert ex.failures_in_a_row(rows.where("status = 'error'"), 4) == (10, 10) and ex.failures_in_a_row(rows.limit(0), 4) == (4, 4)
+
+
+def test_progress_lines(spark, tmp_path):
+    said = []
+    ex.run_extraction(docs(spark), str(tmp_path), ex.WordProvider(), limits=ex.Limits(chunk=4), progress=ex.progress_lines(8, said.append))
+    assert said and said[-1].startswith("20/20 done, 0 failed")
+
+
 def test_retries():
     waits, left = [], [2]
 
