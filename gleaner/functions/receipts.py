@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -11,9 +12,20 @@ from gleaner import vocab
 from gleaner.functions.text import let
 
 
+def literal_of(pattern: str) -> str | None:
+    """A text that stands in every match of a noise pattern: its longest plain part, or its one mark; None without."""
+    plain = re.sub(r"\([^()]*\)\??|\[[^\]]*\][?*+]?|.\?|\\.[*+]?|[\^$.*+]|\{[^}]*\}", "|", pattern)
+    parts = sorted(re.findall(r"[a-z]+(?: [a-z]+)*|#", plain), key=len)
+    return parts[-1] if parts and not pattern.startswith((r"^\s*[", r"^\s*\d")) else None
+
+
 def is_noise(line: Column) -> Column:
-    low = F.lower(line)
-    return reduce(lambda a, b: a | b, [low.rlike(p) for p in vocab.RECEIPT_NOISE])
+    """A pattern is tried only where its literal stands."""
+    tests = []
+    for p in vocab.RECEIPT_NOISE:
+        literal = literal_of(p)
+        tests.append(lambda low, p=p, literal=literal: low.rlike(p) if literal is None else low.contains(literal) & low.rlike(p))
+    return let(F.lower(line), lambda low: reduce(lambda a, b: a | b, [test(low) for test in tests]))
 
 
 def price(line: Column) -> Column:
@@ -36,19 +48,10 @@ def expand(line: Column) -> Column:
     text = F.regexp_replace(line, vocab.RECEIPT_PRICE, "")
     for p in (vocab.RECEIPT_WEIGHED, vocab.RECEIPT_SIZES, vocab.RECEIPT_CODES):
         text = F.regexp_replace(text, p, " ")
-    # tables as one string each: looked up without building a map for every word
-    pairs = " ".join(f"{short}={full.replace(' ', '_')}" for short, full in vocab.RECEIPT_WORDS.items())
-    table, skipped = F.lit(f" {pairs} "), F.lit(f" {' '.join([*vocab.RECEIPT_BRANDS, *vocab.RECEIPT_UNITS])} ")
-
-    def written_out(w: Column) -> Column:
-        key = F.concat(F.lit(" "), w, F.lit("="))
-        value = F.call_function("substring_index", F.call_function("substring_index", table, key, F.lit(-1)), F.lit(" "), F.lit(1))
-        return F.when(F.contains(table, key), F.translate(value, "_", " ")).otherwise(w)
-
-    plain = F.filter(
-        F.transform(F.split(text, "[^A-Za-z]+"), lambda w: F.lower(w)), lambda w: (w != "") & ~F.contains(skipped, F.concat(F.lit(" "), w, F.lit(" ")))
-    )
-    full = F.filter(F.transform(plain, written_out), lambda w: F.length(w) >= 2)
+    table = F.map_from_arrays(F.array(*map(F.lit, vocab.RECEIPT_WORDS)), F.array(*map(F.lit, vocab.RECEIPT_WORDS.values())))
+    skipped = F.array(*map(F.lit, dict.fromkeys(["", *vocab.RECEIPT_BRANDS, *vocab.RECEIPT_UNITS])))
+    plain = F.filter(F.split(F.lower(text), "[^a-z]+"), lambda w: ~F.array_contains(skipped, w))
+    full = F.filter(F.transform(plain, lambda w: F.coalesce(F.try_element_at(table, w), w)), lambda w: F.length(w) >= 2)
     return F.array_join(let(F.flatten(F.transform(full, lambda w: F.split(w, " "))), without_repeats), " ")
 
 

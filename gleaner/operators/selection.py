@@ -9,7 +9,7 @@ from gleaner import vocab
 from gleaner.config import Settings
 from gleaner.functions.text import let, strip
 from gleaner.operators.places import store_hits
-from gleaner.runtime import materialise
+from gleaner.runtime import materialise, spread
 
 
 def lowered(c: Column) -> Column:
@@ -112,7 +112,7 @@ def qualify(docs: DataFrame, s: Settings = Settings()) -> DataFrame:
     docs: author, text, parent_body and any others. Cheap tests come first. A document that names no store inherits its
     parent's, if that names exactly one and the document itself has context; only then the parent's text stays.
     """
-    kept = docs.where(~is_bot(F.col("author"))).where(F.length("text") >= s.min_chars).where(is_evaluative(F.col("text")))
+    kept = spread(docs).where(~is_bot(F.col("author"))).where(F.length("text") >= s.min_chars).where(is_evaluative(F.col("text")))
     text, parent = F.col("text"), F.coalesce(F.col("parent_body"), F.lit(""))
     none = F.array().cast("array<string>")
 
@@ -166,7 +166,7 @@ def store_report(candidates: DataFrame) -> DataFrame:
 def census(docs: DataFrame) -> DataFrame:
     """Per store: documents that name it (ungated) and the part of them that judges."""
     low = F.lower("text")
-    rows = docs.where(F.length("text") >= 10).select(F.explode(store_hits(low)).alias("store"), is_evaluative(F.col("text")).alias("judges"))
+    rows = spread(docs.select("text")).where(F.length("text") >= 10).select(F.explode(store_hits(low)).alias("store"), is_evaluative(F.col("text")).alias("judges"))
     counts = rows.groupBy("store").agg(F.count(F.lit(1)).alias("mentions"), F.count_if("judges").alias("evaluative"))
     return counts.withColumn("part", F.round(F.col("evaluative") / F.col("mentions"), 4))
 

@@ -11,7 +11,7 @@ from gleaner.functions import receipts as rc
 from gleaner.functions.text import worked_out
 from gleaner.operators import places as pl
 from gleaner.operators import selection as sel
-from gleaner.runtime import load
+from gleaner.runtime import load, spread
 
 S = Settings()
 TERMS = [w for words in vocab.LIST_WORDS.values() for w in words]
@@ -110,7 +110,7 @@ def agg_duplicate_ids(spark, sf_dir):
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    rows = load(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.posexplode(F.split("text", "\r?\n")).alias("pos", "line"))
+    rows = spread(load(spark, sf_dir, "documents").select("doc_id", "text")).where("text is not null").select("doc_id", F.posexplode(F.split("text", "\r?\n")).alias("pos", "line"))
     return rows.withColumn("line", F.trim("line")).where(F.length("line") >= 3)
 
 
