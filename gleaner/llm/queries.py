@@ -12,7 +12,7 @@ from gleaner.llm.mix import mix
 from gleaner.llm.pack import fill_report, pack_documents
 from gleaner.llm.pii import found_types, redacted
 from gleaner.llm.spam import spam_pages
-from gleaner.runtime import load
+from gleaner.runtime import load, materialise
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +80,51 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spam_pages(load(spark, sf_dir, "documents"))
 
 
+#: Addresses and numbers as plain as can be; what else counts is beyond SQL.
+PLAIN_EMAIL = r"(^|[ (<:])[a-z0-9]+([._][a-z0-9]+)*@[a-z0-9]+([.-][a-z0-9]+)*\.[a-z]{2,8}($|[ )>,;?!\n])"
+PLAIN_NUMBER = r"(^|[ (:])[1-57-9][0-9][1-9]-[0-9][1-9]-[0-9]{3}[1-9]($|[ ),;?!\n])"
+
+
+def p2_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is found in texts that hold a plainly written address or number: at least its type."""
+    rows = load(spark, sf_dir, "candidates")
+    found = p2_found(spark, sf_dir)
+    parts = []
+    for kind, pattern in (("email", PLAIN_EMAIL), ("identity_number", PLAIN_NUMBER)):
+        plain = rows.where(F.col("text").rlike(pattern)).select("delivery_id")
+        parts.append(found.where((F.col("pii_type") == kind) & (F.col("field") == "text")).join(plain, "delivery_id", "left_semi").select("delivery_id", "pii_type"))
+    return parts[0].unionByName(parts[1])
+
+
+def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each pack: documents, parts of them that a container holds twice or not at all, containers above the capacity, and
+    documents in several containers that would fit in one."""
+    packed, packs = materialise(p7_packed(spark, sf_dir), "packed"), load(spark, sf_dir, "pack_sizes")
+    sizes = packed.groupBy("pack_name", "doc_id").agg(F.sum("n_tokens").alias("n"), F.count(F.lit(1)).alias("parts"), F.count_distinct("part").alias("different"), F.count_if(F.col("container").isNull() & (F.col("n_tokens") > 0)).alias("lost"))
+    by_doc = sizes.join(F.broadcast(packs), "pack_name").groupBy("pack_name").agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if((F.col("parts") != F.col("different")) | (F.col("lost") > 0)).alias("wrong"),
+        F.count_if((F.col("parts") > 1) & (F.col("n") <= F.col("capacity_tokens"))).alias("split"),
+    )
+    full = packed.where("container is not null").groupBy("pack_name", "container").agg(F.sum("n_tokens").alias("n")).join(F.broadcast(packs), "pack_name")
+    over = full.groupBy("pack_name").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("overfull"))
+    return by_doc.join(over, "pack_name").select("pack_name", "documents", "wrong", "overfull", "split")
+
+
+def p8_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each source that has documents and a target: whether no document is used more often than allowed, and whether its
+    tokens are its target share (of the targets present) but for a document of each source, which are not divided."""
+    mixed, report = mix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+    most = mixed.groupBy("source").agg(F.max("copies").alias("most"), F.max("n_tokens").alias("longest"))
+    rows = report.where("target_share > 0 and max_repeats > 0 and available_tokens > 0").join(F.broadcast(most), "source")
+    whole = rows.agg(F.sum("target_share").alias("whole"), F.sum("mixed_tokens").alias("total"), F.sum("longest").alias("slack"))
+    off = F.abs(F.col("mixed_tokens") - F.col("total") * F.col("target_share") / F.col("whole"))
+    return rows.crossJoin(F.broadcast(whole)).select("source", (F.col("most") <= F.col("max_repeats")).alias("within_repeats"), (off <= F.col("slack")).alias("on_target"))
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_redacted": p2_redacted,
+    "p2_plain": p2_plain,
     "p3_found": p3_found,
     "p4_found": p4_found,
     "p4_classes": p4_classes,
@@ -90,12 +132,18 @@ QUERIES = {
     "p6_found": p6_found,
     "p7_packed": p7_packed,
     "p7_fill": p7_fill,
+    "p7_kept": p7_kept,
     "p8_mixed": p8_mixed,
     "p8_shares": p8_shares,
+    "p8_kept": p8_kept,
     "p9_found": p9_found,
 }
 
 ORACLES = {
+    "p2_plain": f"""SELECT delivery_id, 'email' AS pii_type FROM candidates WHERE regexp_matches(text, '{PLAIN_EMAIL}')
+        UNION ALL SELECT delivery_id, 'identity_number' FROM candidates WHERE regexp_matches(text, '{PLAIN_NUMBER}')""",
+    "p7_kept": "SELECT pack_name, (SELECT count(*) FROM documents) AS documents, cast(0 AS BIGINT) AS wrong, cast(0 AS BIGINT) AS overfull, cast(0 AS BIGINT) AS split FROM pack_sizes",
+    "p8_kept": "SELECT source, true AS within_repeats, true AS on_target FROM mix_targets WHERE target_share > 0 AND max_repeats > 0 AND source IN (SELECT source FROM documents WHERE length(text) > 0)",
     "p3_found": r"""WITH d AS (SELECT *, row_number() OVER (PARTITION BY source_key, store, category, claim ORDER BY claim_row) AS copy FROM claims),
         c AS (SELECT *, regexp_replace(lower(regexp_replace(author, '^\s+|\s+$', '', 'g')), '^(/?u/|@)', '') AS handle,
             lower(regexp_replace(confidence, '^\s+|\s+$', '', 'g')) AS conf FROM d WHERE copy = 1 AND store <> ''),
