@@ -5,14 +5,16 @@ from __future__ import annotations
 import argparse
 import importlib
 import sys
+import time
 
 from pyspark.sql import functions as F
 
-from gleaner import reports
+from gleaner import reports, vocab
 from gleaner.config import Settings
 from gleaner.operators import evaluation as evl
 from gleaner.operators import evidence as ev
 from gleaner.operators import extraction as ex
+from gleaner.operators import publish as pb
 from gleaner.operators import ratings as rt
 from gleaner.operators import selection as sel
 from gleaner.runtime import materialise, release, session
@@ -24,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     for name, args in {
         "select": ("shards", "out"), "extract": ("candidates", "folder"), "aggregate": ("claims", "out"), "ratings": ("reviews", "out"), "evaluate": ("gold", "results"), "report": ("verdicts",),
+        "reviews": ("reviews", "places", "out"), "place": ("claims", "documents", "branches", "out"), "site": ("claims", "out"), "detail": ("claims", "store"),
     }.items():
         c = sub.add_parser(name)
         for a in args:
@@ -72,6 +75,27 @@ def main(argv: list[str] | None = None) -> int:
             rows = jsonl.read_reviews(spark, args.reviews)
             sinks.publish(rt.summarise(rt.usable_reviews(rows), ["store"], s), f"{args.out}/stores", check=True)
             sinks.publish(rt.summarise(rt.usable_reviews(rows), ["gmap_id"], s), f"{args.out}/places", check=True)
+        elif args.command == "reviews":
+            stores = spark.read.schema("gmap_id string, store string").json(args.places).where("gmap_id is not null and store is not null").dropDuplicates(["gmap_id"])
+            sinks.publish(sel.review_candidates(jsonl.read_review_texts(spark, args.reviews), stores, s), args.out, fmt="json")
+        elif args.command == "place":
+            claims, _ = jsonl.read_claims(spark, args.claims, s)
+            documents = spark.read.schema("source_id string, place string, reviewed string").json(args.documents).dropDuplicates(["source_id"])
+            branches = spark.read.schema("place string, branch string").json(args.branches).dropDuplicates(["place"])
+            placed = materialise(sel.attach_place(claims, documents, branches), "placed")
+            sinks.publish(placed.drop("foreign", "claim_row"), args.out, fmt="json")
+            print(pb.placement(placed).first().asDict())
+        elif args.command in ("site", "detail"):
+            claims, _ = jsonl.read_claims(spark, args.claims, s)
+            weighed = materialise(ev.weigh(ev.prepare(ev.valid_claims(claims, s), s), s), "weighed")
+            if args.command == "detail":
+                print("\n".join(reports.detail_lines(weighed.where(F.col("store") == args.store), args.store, s)))
+                return 0
+            head = {
+                "generated_at": time.strftime("%Y-%m-%d", time.gmtime(args.now)), "method": {"shrinkage": s.shrinkage, "default_half_life_years": s.default_half_life}, "places": [],
+                "keywords": {w: c for c, words in vocab.LIST_WORDS.items() for w in words}, "receipts": {"words": vocab.RECEIPT_WORDS, "units": list(vocab.RECEIPT_UNITS), "brands": list(vocab.RECEIPT_BRANDS)},
+            }
+            print(pb.write_document(spark, pb.build_document(pb.verdict_sections(weighed, s), head), args.out), "bytes")
         elif args.command == "evaluate":
             gold = jsonl.read_gold(spark, args.gold)
             cases = gold.select(F.col("id").alias("case"), F.lit("gold").alias("subreddit"), F.lit("comments").alias("kind"), "id", "text", "parent_body", "stores")
@@ -82,7 +106,7 @@ def main(argv: list[str] | None = None) -> int:
             return 0 if (score.first()["exact_match"] or 0.0) >= args.least else 1
         else:
             print("\n".join(reports.totals_lines(spark.read.parquet(f"{args.verdicts}/totals"))))
-    except sinks.EmptyResultError as e:
+    except (sinks.EmptyResultError, pb.PublishingError) as e:
         print(e, file=sys.stderr)
         return 1
     except (FileNotFoundError, sinks.LockedError) as e:

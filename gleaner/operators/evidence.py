@@ -202,6 +202,11 @@ def chain_cells(cells: DataFrame) -> DataFrame:
     return cells.groupBy("store", "category").agg(*merged())
 
 
+def above_floor(cells: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """Cells of any kind with enough evidence to be shown."""
+    return cells.where(F.col("weight") >= s.min_weight)
+
+
 def store_totals(chains: DataFrame) -> DataFrame:
     return chains.where(~F.col("category").isin(*vocab.NON_SHOPPING)).groupBy("store").agg(*merged())
 

@@ -14,12 +14,13 @@ from gleaner.operators import publish as pb
 from gleaner.operators import ranking as rk
 from gleaner.operators import ratings as rt
 from gleaner.operators import selection as sel
+from gleaner.operators import validation as val
 from gleaner.operators import views as vw
 from gleaner.plans import answers as an
 from gleaner.plans import evidence as base
 from gleaner.plans import ratings as rated
 from gleaner.plans import texts
-from gleaner.runtime import load, materialise
+from gleaner.runtime import load, materialise, scratch_path
 
 S = Settings()
 
@@ -187,6 +188,33 @@ def ml_combine_claim_branch(spark, sf_dir):
     return cal.combine_claims(first, second.join(named, ["store", "branch"], "left_semi"), ["store", "branch", "category"], fit, S)
 
 
+def _document(spark, sf_dir):
+    weighed = base._weighed(spark, sf_dir).where(val.is_public_link(F.col("permalink")))
+    return materialise(pb.verdict_sections(materialise(weighed, "weighed"), S), "sections")
+
+
+def jsn_document(spark, sf_dir):
+    """A document written, read again and counted: entries by section, and the keys below them."""
+    head = {"generated_at": "2026-02-02", "method": {"shrinkage": S.shrinkage}, "places": [], "keywords": {r["word"]: r["category"] for r in rk.keyword_table(spark).collect()}}
+    path = scratch_path(spark, "document")
+    pb.write_document(spark, pb.build_document(_document(spark, sf_dir), head), path)
+    document = pb.read_document(spark, path)
+    depth = {"stores": 2, "branches": 3, "regions": 3, "items": 2, "totals": 1}
+    leaves = lambda node, d: sum(leaves(x, d - 1) for x in node.values()) if d else 1
+    rows = [(name, len(document[name]), leaves(document[name], d)) for name, d in depth.items()]
+    return spark.createDataFrame(rows, "section string, stores bigint, cells bigint")
+
+
+def jsn_item_cells(spark, sf_dir):
+    """The items' entries as they stand in the document."""
+    rows = _document(spark, sf_dir).where("section = 'items'")
+    return rows.select(F.col("path")[0].alias("store"), F.col("path")[1].alias("item"), F.get_json_object("body", "$.n").cast("bigint").alias("n"), F.get_json_object("body", "$.p").alias("p"), F.get_json_object("body", "$.e[0].u").alias("first_link"))
+
+
+def flt_branch_floor(spark, sf_dir):
+    return ev.above_floor(base._cells(spark, sf_dir), S).select("store", "branch", "category", "n")
+
+
 def jsn_payload(spark, sf_dir):
     """The sections of the published document that hold a row per store."""
     weighed, cells, chains = an._tables(spark, sf_dir)
@@ -225,7 +253,22 @@ _CLAIM_SIDES = (
 _BOTH_BRANCHES = """(SELECT coalesce(a.store, b.store) AS store, coalesce(a.branch, b.branch) AS branch, coalesce(a.category, b.category) AS category, a.score AS sc1, a.valenced AS w1, b.score AS sc2, b.valenced AS w2, fit.*
     FROM b1 a FULL JOIN (SELECT * FROM b2 WHERE (store, branch) IN (SELECT (store, branch) FROM b1)) b ON a.store = b.store AND a.branch = b.branch AND a.category = b.category, fit)"""
 
+_PUBLIC = base.BASE + ", pub AS (SELECT * FROM weighed WHERE regexp_matches(permalink, '^/r/[A-Za-z0-9_]+/'))"
+_CELLS_OF = "SELECT '{s}' AS section, count(DISTINCT store) AS stores, count(*) AS cells FROM (SELECT {k} FROM pub WHERE {c} GROUP BY ALL HAVING {h})"
+_REGION = f"regexp_matches(trim(branch), '{vocab.REGION}')"
+
 ORACLES = {
+    "jsn_document": _PUBLIC + " " + " UNION ALL ".join([
+        _CELLS_OF.format(s="stores", k="store, category", c="true", h="sum(w) >= 0.3"),
+        _CELLS_OF.format(s="branches", k="store, branch, category", c=f"branch <> '' AND NOT {_REGION}", h="sum(w) >= 0.3"),
+        _CELLS_OF.format(s="regions", k="store, branch, category", c=f"branch <> '' AND {_REGION}", h="sum(w) >= 0.3"),
+        _CELLS_OF.format(s="items", k="store, item_key", c="item_key <> ''", h="round(sum(w), 2) >= 1.0"),
+        _CELLS_OF.format(s="totals", k="store", c="category NOT IN ('labor_ethics', 'store_lifecycle')", h="true"),
+    ]),
+    "jsn_item_cells": _PUBLIC + """ SELECT store, item_key AS item, count(*) AS n, CASE WHEN sum(CASE WHEN pr IS NOT NULL THEN w ELSE 0 END) >= 1 THEN
+            CASE WHEN sum(coalesce(w * pr, 0)) / (sum(CASE WHEN pr IS NOT NULL THEN w ELSE 0 END) + 2) < -0.15 THEN 'cheap' WHEN sum(coalesce(w * pr, 0)) / (sum(CASE WHEN pr IS NOT NULL THEN w ELSE 0 END) + 2) > 0.15 THEN 'expensive' ELSE 'fair' END END AS p,
+        list_extract(list(permalink ORDER BY w DESC, claim_row), 1) AS first_link FROM pub WHERE item_key <> '' GROUP BY store, item_key HAVING round(sum(w), 2) >= 1.0""",
+    "flt_branch_floor": base.BASE + "SELECT store, branch, category, count(*) AS n FROM weighed GROUP BY ALL HAVING sum(w) >= 0.3",
     "agg_basket_size": f"SELECT cast({len(an.BASKET)} AS BIGINT) AS items, sum(qty) AS units FROM (VALUES " + ", ".join(f"({q})" for _, q in an.BASKET) + ") AS b(qty)",
     "flt_unmatched": _ANSWER + " SELECT term FROM basket WHERE term NOT IN (SELECT term FROM resolved)",
     "top_basket_covered": f"{_RANKED} {_PLACED.format(o='covered DESC, avg DESC', c='store, covered, avg')}",

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gleaner.config import Settings
+from gleaner.operators import evidence as ev
+from gleaner.operators import publish as pb
+
 
 def signed(c):
     return F.concat(F.when(c > 0, "+").otherwise(""), F.format_number(c, 2))
@@ -40,6 +44,26 @@ def store_lines(cells: DataFrame, store: str) -> list[str]:
     return [store, *[r[0] for r in rows.select(line).collect()]]
 
 
+def detail_lines(weighed: DataFrame, store: str, s: Settings = Settings(), most_quotes: int = 3, most_items: int = 5) -> list[str]:
+    """One store: its categories by evidence, each with the heaviest quotes, the branches with evidence, the heaviest items."""
+    cells = ev.branch_cells(weighed)
+    chains = ev.above_floor(ev.chain_cells(cells), s)
+    rows = ev.view(chains, s).join(pb.quotes(weighed, ["store", "category"], most_quotes), ["store", "category"], "left").orderBy(F.desc("weighted_evidence"), "category")
+    out = [store, "=" * len(store)]
+    for r in rows.collect():  # a row for each category
+        mark = "+" if r["sentiment"] > 0.15 else "-" if r["sentiment"] < -0.15 else "~"
+        out.append(f"{r['category']:<18} {mark} {r['sentiment']:+.2f}  n={r['n_claims']}  price={r['price_signal'] or '-'}")
+        for q in r["e"] or ():
+            where = f" [{q['l']}]" if q["l"] else ""
+            out.append(f"    [{q['d']}]{where} {q['t'][:100]}")
+    if len(out) == 2:
+        return [*out, "no claims above the floor of evidence"]
+    named = ev.above_floor(cells, s).where("branch <> ''").select("branch").distinct().orderBy("branch")
+    out += ["branches: " + ", ".join(r["branch"] for r in named.toLocalIterator())]
+    items = ev.view(ev.item_cells(weighed), s).orderBy(F.desc("weighted_evidence"), "item_key").limit(most_items).collect()
+    return [*out, "items: " + ", ".join(f"{r['item_key']} ({r['sentiment']:+.2f})" for r in items)]
+
+
 def percent(value: float | None) -> str:
     return "n/a" if value is None else f"{100 * value:.0f}%"
 

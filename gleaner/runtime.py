@@ -53,6 +53,31 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{_scratch_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    fs, p = file_system(spark, path)
+    _, part = file_system(spark, f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(part, p)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application has put into the shared folder; results not yet written are lost with it."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))

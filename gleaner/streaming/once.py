@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.functions.text import epoch_seconds, message_key
-from gleaner.runtime import scratch_path
+from gleaner.runtime import file_system, read_text, scratch_path, write_text
 
 #: shelf: the year of the event time of an accepted message; AGAIN holds the redeliveries.
 LOG_SCHEMA = "scope string, message string, delivery bigint, batch int, shelf int"
@@ -118,7 +118,7 @@ def accept_once(
         shelved.write.partitionBy("shelf").mode("overwrite").parquet(f"{log_path}/batch={number}")
         # the latest event time of this and all earlier micro-batches
         clock[number] = max((t for t in (seen.get("latest"), horizon) if t is not None), default=None)
-        _write_text(spark, f"{log_path}_clock/{number}", "" if clock[number] is None else str(clock[number]))
+        write_text(spark, f"{log_path}_clock/{number}", "" if clock[number] is None else str(clock[number]))
         _delete(spark, stage)
         done.batches.append((number, seen.get("late") or 0, shelves))
         done.logged(number)
@@ -148,7 +148,7 @@ def _logged_clock(spark: SparkSession, log_path: str, number: int) -> int | None
     """After a restart: the latest event time up to the micro-batch before this one."""
     if number == 0:
         return None
-    text = _read_text(spark, f"{log_path}_clock/{number - 1}")
+    text = read_text(spark, f"{log_path}_clock/{number - 1}")
     return int(text) if text else None
 
 
@@ -198,46 +198,21 @@ def run_once(spark: SparkSession, path: str, settings: OnceSettings = OnceSettin
     return f"{base}/log" if _exists(spark, f"{base}/log") else None
 
 
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, whole or not at all."""
-    fs, p = _file_system(spark, path)
-    _, part = _file_system(spark, f"{path}.part")
-    out = fs.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    fs.delete(p, False)
-    fs.rename(part, p)
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p = _file_system(spark, path)
-    stream = fs.open(p)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
 def _lay_out(table: DataFrame, order: str, slices: int, path: str) -> None:
     """Write the table as up to so many files, by ranges of order; their ages rise with it, as a stream reads by age."""
     spark = table.sparkSession
     table.repartitionByRange(slices, order).write.option("maxRecordsPerFile", 0).parquet(path)
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     files = sorted((f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
     last = max((fs.getFileStatus(p).getModificationTime() for p in files), default=0)
     for i, p in enumerate(files):
@@ -246,7 +221,7 @@ def _lay_out(table: DataFrame, order: str, slices: int, path: str) -> None:
 
 def _stream_path(spark: SparkSession, path: str) -> str:
     """A stream reads folders or patterns; a table that is one file is given as a pattern which only that file meets."""
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     return path if fs.getFileStatus(p).isDirectory() else f"{path[:-1]}[{path[-1]}]"
 
 

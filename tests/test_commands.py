@@ -22,6 +22,12 @@ def test_from_shards_to_verdicts(spark, tmp_path, capsys):
     totals = spark.read.parquet(at("verdicts/totals")).collect()
     assert [(r["store"], r["n_claims"]) for r in totals] == [("Market Basket", 6)] and totals[0]["sentiment"] > 0
     assert main(["report", at("verdicts")]) == 0 and "Market Basket" in capsys.readouterr().out
+    assert main(["detail", at("run/claims"), "Market Basket", "--now", "1700000000"]) == 0
+    told = capsys.readouterr().out
+    assert "Market Basket" in told and "n=6" in told and "The produce at Market Basket" in told
+    assert main(["site", at("run/claims"), at("site.json"), "--now", "1700000000"]) == 0
+    document = json.loads((tmp_path / "site.json").read_text())
+    assert document["totals"]["Market Basket"]["n"] == 6 and document["stores"]["Market Basket"] and document["keywords"]["milk"] == "dairy"
     assert main(["select", at("nowhere"), at("candidates")]) == 2
     assert main(["select", at("shards"), at("candidates"), "--limit", "0"]) == 1 and spark.read.json(at("candidates")).count() == 6
 
@@ -46,5 +52,21 @@ def test_quotes_and_documents(spark):
     assert body["meat"]["n"] == 5 and body["meat"]["p"] == "cheap" and body["meat"]["pd"] == {"cheap": 4} and "l" not in body["meat"]["e"][0]
 
 
+def test_reviews_are_placed(spark, tmp_path):
+    write = lambda name, rows: (tmp_path / name).write_text("\n".join(map(json.dumps, rows)))
+    at = lambda name: str(tmp_path / name)
+    write("reviews.json", [{"gmap_id": "g", "user_id": "u", "time": 1_600_000_000_000, "rating": 5, "text": "good " * 40}, {"gmap_id": "g", "time": 1, "text": "short"}])
+    write("places.json", [{"gmap_id": "g", "store": "Aldi"}, {"gmap_id": "h", "store": None}])
+    assert main(["reviews", at("reviews.json"), at("places.json"), at("candidates")]) == 0
+    row = spark.read.json(at("candidates")).first()
+    assert (row["stores"], row["kind"], row["created_utc"]) == (["Aldi"], "review", 1_600_000_000)
+    claim = {"store": "Aldi", "category": "dairy", "claim": "c", "sentiment": "positive", "confidence": "high", "source_key": "r_1", "source_id": "1", "permalink": "", "created_utc": 1_600_000_000, "transient": False}
+    write("claims.json", [claim, {**claim, "store": "Costco", "claim": "d"}])
+    write("documents.json", [{"source_id": "1", "place": "g", "reviewed": "Aldi"}])
+    write("branches.json", [{"place": "g", "branch": "somewhere"}])
+    assert main(["place", at("claims.json"), at("documents.json"), at("branches.json"), at("placed")]) == 0
+    assert sorted((r["store"], r["location"]) for r in spark.read.json(at("placed")).collect()) == [("Aldi", "somewhere"), ("Costco", "")]
+
+
 def test_percent():
     assert (percent(None), percent(0.954)) == ("n/a", "95%")
