@@ -84,7 +84,9 @@ def test_shards_and_parents(spark, tmp_path):
     ]
     with gzip.open(folder / "2020-01.ndjson.gz", "wt") as f:
         f.write("\n".join(lines))
-    raw = jsonl.read_shards(spark, str(tmp_path), ["town", "elsewhere"])
+    with pytest.raises(FileNotFoundError):  # an unknown one is refused, not passed over
+        jsonl.read_shards(spark, str(tmp_path), ["town", "elsewhere"])
+    raw = jsonl.read_shards(spark, str(tmp_path), ["town"])
     out = {r["id"]: r["parent_body"] for r in sel.resolve_parents(raw).collect() if r["id"] != "a"}
     assert out == {"b": "new", "c": "", "d": ""}
     assert {(r["kind"], r["subreddit"], r["window"]) for r in raw.collect()} == {("comments", "town", "2020-01")}
