@@ -35,9 +35,8 @@ class OnceSettings:
     slices: int = 0
 
 
-#: A table read as it arrived, in several micro-batches. It holds the archive of many years in no order of event time, so
-#: the delay is long: some nine in ten messages are decided by the state, the oldest by the lookup.
-ARRIVALS = OnceSettings(delay="3000 days", files_per_batch=1, slices=8)
+#: A table read as it arrived, in several micro-batches.
+ARRIVALS = OnceSettings(files_per_batch=1, slices=4)
 
 
 @dataclass
