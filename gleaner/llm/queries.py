@@ -88,12 +88,9 @@ PLAIN_NUMBER = r"(^|[ (:])[1-57-9][0-9][1-9]-[0-9][1-9]-[0-9]{3}[1-9]($|[ ),;?!\
 def p2_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is found in texts that hold a plainly written address or number: at least its type."""
     rows = load(spark, sf_dir, "candidates")
-    found = p2_found(spark, sf_dir)
-    parts = []
-    for kind, pattern in (("email", PLAIN_EMAIL), ("identity_number", PLAIN_NUMBER)):
-        plain = rows.where(F.col("text").rlike(pattern)).select("delivery_id")
-        parts.append(found.where((F.col("pii_type") == kind) & (F.col("field") == "text")).join(plain, "delivery_id", "left_semi").select("delivery_id", "pii_type"))
-    return parts[0].unionByName(parts[1])
+    a, b = [rows.where(F.col("text").rlike(pattern)).select("delivery_id", F.lit(kind).alias("pii_type")) for kind, pattern in (("email", PLAIN_EMAIL), ("identity_number", PLAIN_NUMBER))]
+    found = p2_found(spark, sf_dir).where("field = 'text'").select("delivery_id", "pii_type")
+    return found.join(a.unionByName(b), ["delivery_id", "pii_type"], "left_semi")
 
 
 def p7_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
