@@ -94,7 +94,7 @@ def _accented(pairs: Iterable[tuple[str, str]]) -> Iterator[tuple[str, str]]:
 def confusable_pairs(spark: SparkSession) -> tuple[tuple[str, str], ...]:
     """Letters of scripts with capitals (and of Lisu, whose letters are Latin capitals) and the letter that each shows, by
     the public table of confusables. Left out: letters that show a digit, several letters, or TOLD_APART. I and l are one
-    in the table; here capitals show I and others l. Without the table in the JVM there are none."""
+    in the table; here capitals show I and others l. Raises where the JVM has no table, as few classes would look like a result."""
     listed = frozenset("".join(LOOK_ALIKES.values()))
     chars = [
         ch for ch in map(chr, range(0x80, 0x20000))
@@ -104,8 +104,8 @@ def confusable_pairs(spark: SparkSession) -> tuple[tuple[str, str], ...]:
     ]
     try:
         shown = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build().getSkeleton("\n".join(chars)).split("\n")
-    except (TypeError, Py4JError):
-        return ()
+    except (TypeError, Py4JError) as e:
+        raise RuntimeError("the table of confusables can't be read from the session's JVM (SpoofChecker of icu4j)") from e
     out = []
     for ch, other in zip(chars, shown, strict=True):
         if other == "l":

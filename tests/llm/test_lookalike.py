@@ -1,4 +1,7 @@
 import itertools
+from types import SimpleNamespace
+
+import pytest
 
 from gleaner.llm.lookalike import Rewriter, confusable_pairs, look_alike_classes, look_classes, looks_of, rewriter_of, same_look_pairs, with_consistent_form
 
@@ -67,3 +70,13 @@ def test_form_is_stable():
 def test_nothing(spark):
     df = spark.createDataFrame([], "id bigint, t string")
     assert same_look_pairs(looks_of(df, "id", "t", rewriter_of(df, "t"))).count() == 0
+
+
+@pytest.mark.parametrize("jvm", ["without the table", "that throws"])
+def test_no_table_is_no_result(spark, jvm):
+    own = spark._jvm
+    text = SimpleNamespace(SpoofChecker=SimpleNamespace(Builder=lambda: own.java.net.URI("::")))
+    throws = SimpleNamespace(com=SimpleNamespace(ibm=SimpleNamespace(icu=SimpleNamespace(text=text))))
+    # py4j takes an unknown name for a package
+    with pytest.raises(RuntimeError, match="table of confusables"):
+        confusable_pairs(SimpleNamespace(_jvm=own.no.such if jvm == "without the table" else throws))
