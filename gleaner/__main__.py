@@ -95,7 +95,7 @@ def main(argv: list[str] | None = None) -> int:
                 "generated_at": time.strftime("%Y-%m-%d", time.gmtime(args.now)), "method": {"shrinkage": s.shrinkage, "default_half_life_years": s.default_half_life}, "places": [],
                 "keywords": {w: c for c, words in vocab.LIST_WORDS.items() for w in words}, "receipts": {"words": vocab.RECEIPT_WORDS, "units": list(vocab.RECEIPT_UNITS), "brands": list(vocab.RECEIPT_BRANDS)},
             }
-            print(pb.write_document(spark, pb.build_document(pb.verdict_sections(weighed, s), head), args.out), "bytes")
+            print(pb.write_sections(spark, materialise(pb.verdict_sections(weighed, s), "sections"), head, args.out), "bytes")
         elif args.command == "evaluate":
             gold = jsonl.read_gold(spark, args.gold)
             cases = gold.select(F.col("id").alias("case"), F.lit("gold").alias("subreddit"), F.lit("comments").alias("kind"), "id", "text", "parent_body", "stores")

@@ -197,11 +197,13 @@ def jsn_document(spark, sf_dir):
     """A document written, read again and counted: entries by section, and the keys below them."""
     head = {"generated_at": "2026-02-02", "method": {"shrinkage": S.shrinkage}, "places": [], "keywords": {r["word"]: r["category"] for r in rk.keyword_table(spark).collect()}}
     path = scratch_path(spark, "document")
-    pb.write_document(spark, pb.build_document(_document(spark, sf_dir), head), path)
-    document = pb.read_document(spark, path)
-    depth = {"stores": 2, "branches": 3, "regions": 3, "items": 2, "totals": 1}
-    leaves = lambda node, d: sum(leaves(x, d - 1) for x in node.values()) if d else 1
-    rows = [(name, len(document[name]), leaves(document[name], d)) for name, d in depth.items()]
+    pb.write_sections(spark, _document(spark, sf_dir), head, path)
+    stores, cells = dict.fromkeys(pb.DEPTH, 0), dict.fromkeys(pb.DEPTH, 0)
+    for names, _ in pb.read_entries(spark, path):
+        if names[0] in pb.DEPTH:
+            stores[names[0]] += len(names) == 2
+            cells[names[0]] += len(names) == pb.DEPTH[names[0]] + 1
+    rows = [(name, stores[name], cells[name]) for name in pb.DEPTH]
     return spark.createDataFrame(rows, "section string, stores bigint, cells bigint")
 
 

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,15 +59,66 @@ def file_system(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small file, whole or not at all."""
+def write_whole(spark: SparkSession, path: str, pieces: Iterable[str | tuple[str, int]]) -> int:
+    """A file, whole or not at all, of texts and of the first so many bytes of other files, which the JVM copies; returns its bytes."""
     fs, p = file_system(spark, path)
     _, part = file_system(spark, f"{path}.part")
     out = fs.create(part, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+    try:
+        for piece in pieces:
+            if isinstance(piece, str):
+                out.write(bytearray(piece.encode()))
+                continue
+            other, at = file_system(spark, piece[0])
+            stream = other.open(at)
+            try:
+                copied = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.copyLarge(stream, out, 0, piece[1])
+            finally:
+                stream.close()
+            if copied != piece[1]:
+                raise OSError(f"{piece[0]} ends after {copied} of {piece[1]} bytes")
+        n = out.getPos()
+    finally:
+        out.close()
     fs.delete(p, False)
     fs.rename(part, p)
+    return n
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all."""
+    write_whole(spark, path, [text])
+
+
+def read_pieces(spark: SparkSession, path: str, n: int = 1 << 20) -> Iterator[bytes]:
+    """A file of any size, up to n bytes at a time."""
+    fs, p = file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        while piece := bytes(stream.readNBytes(n)):
+            yield piece
+    finally:
+        stream.close()
+
+
+def last_line(spark: SparkSession, path: str, tail: int = 1 << 16) -> list[tuple[str, int]]:
+    """The last line of a file and where it begins; nothing of an empty file."""
+    fs, p = file_system(spark, path)
+    length = fs.getFileStatus(p).getLen()
+    if not length:
+        return []
+    stream = fs.open(p)
+    try:
+        while True:
+            begin = max(0, length - tail)
+            stream.seek(begin)
+            text = bytes(stream.readNBytes(length - begin)).rstrip(b"\n")
+            at = text.rfind(b"\n") + 1
+            if at or not begin:
+                return [(text[at:].decode(), begin + at)]
+            tail *= 4
+    finally:
+        stream.close()
 
 
 def read_text(spark: SparkSession, path: str) -> str:
